@@ -331,7 +331,7 @@ _BAND = """CASE WHEN discount = 0 THEN '0%  — sem desconto'
 WHEN discount <= 0.10 THEN '1% a 10%' WHEN discount <= 0.20 THEN '11% a 20%'
 WHEN discount <= 0.30 THEN '21% a 30%' ELSE 'Acima de 30%' END"""
 
-_NBSP = " "
+_NBSP = "\u00a0"
 
 _RAW_TEXTS = f"""
 CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS row_id,

@@ -143,7 +143,7 @@ def raw_from_star(spark: SparkSession, folder: str) -> DataFrame:
         "City": F.concat(F.lit("São Nº "), _text(F.col("c_nationkey"))),
         "Region": F.concat(F.lit(" "), F.col("r_name"), F.lit("\t ")),
         "Subregion": F.concat(F.col("r_name"), F.lit(" / "), F.col("n_name")),
-        "Customer": F.concat(F.lit(" "), F.col("c_name"), F.lit("  ")),
+        "Customer": F.concat(F.lit(" "), F.col("c_name"), F.lit("\u00a0 ")),
         "Customer ID": F.when(part_key % 43 != 0, _text(F.col("o_custkey"))),
         "Industry": F.when(part_key % 7 == 0, "None").otherwise(F.col("p_type")),
         "Segment": F.concat(F.lit(" "), F.col("c_mktsegment")),
