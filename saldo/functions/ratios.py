@@ -9,16 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _nonzero(x: Column) -> Column:
-    return F.nullif(x, F.lit(0))
-
-
 def sql_ratio(num: Column, den: Column) -> Column:
-    return F.round(num / _nonzero(den), 2)
+    return F.round(F.try_divide(num, den), 2)
 
 
 def sql_pct(num: Column, den: Column) -> Column:
-    return F.round(num / _nonzero(den) * 100, 2)
+    return F.round(F.try_divide(num, den) * 100, 2)
 
 
 def frame_round(x: Column, digits: int = 2) -> Column:
@@ -27,11 +23,11 @@ def frame_round(x: Column, digits: int = 2) -> Column:
 
 
 def frame_ratio(num: Column, den: Column) -> Column:
-    return frame_round(num.cast("double") / _nonzero(den.cast("double")))
+    return frame_round(F.try_divide(num.cast("double"), den.cast("double")))
 
 
 def frame_pct(num: Column, den: Column) -> Column:
-    return frame_round(num.cast("double") / _nonzero(den.cast("double")) * 100)
+    return frame_round(F.try_divide(num.cast("double"), den.cast("double")) * 100)
 
 
 def mean_of_rounded(x: Column, digits: int = 2) -> Column:
@@ -40,4 +36,4 @@ def mean_of_rounded(x: Column, digits: int = 2) -> Column:
     The sum is decimal, so the mean does not depend on the order of the partitions.
     """
     exact = x.cast(f"decimal(18,{digits})")
-    return F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))
+    return F.try_divide(F.sum(exact).cast("double"), F.count(exact))

@@ -77,7 +77,7 @@ def _with_churn(states: DataFrame) -> DataFrame:
         "novos": F.col("ativos") - F.col("ficaram"),
         "sairam": F.col("clientes_ini") - F.col("ficaram"),
     })
-    rate = F.col("sairam") / F.nullif(F.col("clientes_ini"), F.lit(0))
+    rate = F.try_divide(F.col("sairam"), F.col("clientes_ini"))
     return counted.withColumns({
         "churn_pct": frame_round(rate * 100),
         "retencao_pct": frame_round((1 - rate) * 100),
@@ -155,11 +155,11 @@ def _ltv(months: DataFrame) -> DataFrame:
         mean_of_rounded(F.col("arpu")).alias("arpu"),
         F.coalesce(mean_of_rounded(F.col("churn_pct")), F.lit(0.0)).alias("churn"),
     )
-    rate = F.nullif(F.col("churn"), F.lit(0.0)) / 100
-    life = 1 / rate
+    rate = F.col("churn") / 100
+    life = F.try_divide(F.lit(1.0), rate)
     return means.select(
         frame_round(F.col("arpu")).alias("arpu_medio"),
-        frame_round(F.coalesce(rate * 100, F.lit(0.0))).alias("churn_pct"),
+        frame_round(rate * 100).alias("churn_pct"),
         frame_round(life, 1).alias("meses_vida"),
         frame_round(F.col("arpu") * life).alias("ltv"),
     )

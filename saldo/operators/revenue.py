@@ -187,7 +187,7 @@ def mrr_monthly(sales: DataFrame) -> DataFrame:
     """Monthly KPIs; growth over the previous observed month, NULL after a month of zero."""
     now = F.col("mrr").cast("double")
     before = _previous("mrr").cast("double")
-    growth = frame_round((now / F.nullif(before, F.lit(0.0)) - 1) * 100)
+    growth = frame_round((F.try_divide(now, before) - 1) * 100)
     return _month_kpis(sales).withColumn("crescimento_mom_pct", growth).orderBy("year_month")
 
 
