@@ -1,0 +1,96 @@
+import csv as plain_csv
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from saldo.operators import quality, revenue
+from saldo.plans import pipeline, reports
+from saldo.sources import warehouse
+from saldo.sources.scratch import new_folder, shared_folder
+from tests.test_csv import write
+
+ROWS = [
+    {"Row ID": "1", "Order ID": "a", "Customer ID": "1", "Sales": "10.005", "Order Date": "1/5/2020"},
+    {"Row ID": "2", "Order ID": "a", "Customer ID": "1", "Sales": "n/a", "Order Date": "1/5/2020"},
+    {"Row ID": "3", "Order ID": "b", "Customer ID": "2", "Sales": "20", "Order Date": "bad"},
+    {"Row ID": "1", "Order ID": "b", "Customer ID": "2", "Sales": "30", "Order Date": "1/6/2020"},
+    {"Row ID": "4", "Order ID": "c", "Customer ID": "2", "Sales": "40", "Order Date": "2/6/2020"},
+    {"Row ID": "5", "Order ID": "d", "Customer ID": "1", "Sales": "50", "Order Date": "2/7/2020"},
+]
+
+
+def read(folder):
+    (path,) = glob.glob(f"{folder}/*.csv")
+    with open(path, encoding="utf-8", newline="") as f:
+        return list(plain_csv.DictReader(f))
+
+
+def test_load_then_analyse(spark, tmp_path):
+    raw = write(tmp_path / "raw.csv", ROWS)
+    loaded = pipeline.load(spark, raw, str(tmp_path / "clean"), table="vendas_etl")
+    assert tuple(loaded.counts.collect()[0]) == (6, 1, 3, 3)
+    assert sorted((r.row_id, float(r.sales)) for r in loaded.sales.collect()) == [
+        (1, 10.01), (4, 40.0), (5, 50.0),
+    ]
+    assert loaded.summary.select(F.col("inicio").cast("string"), "transacoes", "clientes").collect()[0][:] == (
+        "2020-01-05", 3, 2)
+    assert spark.table(warehouse.MONTHLY_VIEW).count() == 2
+
+    status, ltv = pipeline.analyse(spark, str(tmp_path / "clean"), str(tmp_path / "out"))
+    assert [(r.relatorio, r.ok, r.linhas) for r in status.collect()] == [
+        ("mrr_mensal", True, 2), ("churn_mensal", True, 1), ("por_segmento", True, 1),
+        ("por_produto", True, 1),
+    ]
+    monthly = read(tmp_path / "out" / "mrr_mensal")
+    assert [m["mrr"] for m in monthly] == ["10.005", "90.0"]
+    assert list(monthly[0]) == ["year_month", "mrr", "clientes_ativos", "pedidos", "lucro", "arr",
+                                "arpu", "margem_pct", "crescimento_mom_pct"]
+    assert ltv.count() == 1
+
+
+def test_a_broken_row_leaves_the_table_on_its_old_version(spark, tmp_path):
+    good = write(tmp_path / "good.csv", ROWS)
+    bad = write(tmp_path / "bad.csv", [{"Row ID": "9", "Quantity": "0"}])
+    pipeline.load(spark, good, str(tmp_path / "c1"), table="vendas_abort")
+    with pytest.raises(quality.QualityError, match="quantity_positive: 1"):
+        pipeline.load(spark, bad, str(tmp_path / "c2"), table="vendas_abort")
+    assert spark.table("vendas_abort").count() == 3
+    # The clean CSV is written before the table is refreshed.
+    assert len(read(tmp_path / "c2")) == 1
+
+
+def test_a_refresh_replaces_everything(spark, tmp_path):
+    pipeline.load(spark, write(tmp_path / "a.csv", ROWS), str(tmp_path / "c1"), table="vendas_full")
+    second = write(tmp_path / "b.csv", [{"Row ID": "9"}])
+    pipeline.load(spark, second, str(tmp_path / "c2"), table="vendas_full")
+    assert [r.row_id for r in spark.table("vendas_full").collect()] == [9]
+
+
+def test_reports_go_on_after_a_failure(spark, tmp_path):
+    sales = spark.createDataFrame([(1, 2020)], "quarter int, year int").withColumns({
+        "sales": F.lit(1).cast("decimal(12,2)"), "profit": F.lit(0).cast("decimal(12,2)"),
+        "customer_id": F.lit("c"),
+    })
+    fails_late = lambda df: df.select(F.raise_error(F.lit("broken row")).alias("x"))
+    batch = {"antes": revenue.sql_quarters, "sem_coluna": revenue.sql_segments, "tarde": fails_late,
+             "depois": revenue.sql_quarters}
+    status = reports.run_reports(sales, str(tmp_path), batch)
+    assert [(r.relatorio, r.ok, r.linhas) for r in status.collect()] == [
+        ("antes", True, 1), ("sem_coluna", False, None), ("tarde", False, None), ("depois", True, 1),
+    ]
+    assert [r.relatorio for r in reports.failed(status).collect()] == ["sem_coluna", "tarde"]
+    assert all(r.erro for r in reports.failed(status).collect())
+    assert read(tmp_path / "depois") == read(tmp_path / "antes")
+
+
+def test_sql_text_over_the_view(spark):
+    spark.createDataFrame([(1,), (2,)], "a int").createOrReplaceTempView("numeros")
+    assert reports.run_sql(spark, "SELECT sum(a) AS s FROM numeros").collect()[0].s == 3
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    assert new_folder(spark, "x").startswith(folder + "/x-")
+    assert new_folder(spark, "x") != new_folder(spark, "x")

@@ -1,0 +1,64 @@
+"""Plans of the registered queries hold what keeps them fast on large tables."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as registry
+from saldo.operators import revenue
+from saldo.sources import star
+
+FOLDER = "/root/testdata/sf0.001"
+
+# These write files, and so run jobs, before they return.
+WRITING = {"csv_scan", "clean_roundtrip", "warehouse_load", "report_batch"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - WRITING))
+def test_no_product_of_rows_and_no_python(spark, name):
+    text = plan(registry.queries()[name](spark, FOLDER))
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython",
+                 "MapInPandas", "ExistingRDD"):
+        assert word not in text
+
+
+@pytest.mark.parametrize("name", ["sql_top_products", "sql_top_customers"])
+def test_top_k_is_one_ordered_take(spark, name):
+    text = plan(registry.queries()[name](spark, FOLDER))
+    assert "TakeOrderedAndProject(limit=10" in text
+    assert "rangepartitioning" not in text
+
+
+def test_only_needed_tables_and_columns_are_read(spark):
+    text = plan(registry.queries()["sql_discount_bands"](spark, FOLDER))
+    assert text.count("FileScan") == 1
+    assert re.findall(r"ReadSchema: struct<(.*?)>", text) == ["l_extendedprice:double,l_discount:double"]
+
+
+def test_month_filter_reaches_the_scan(spark):
+    sales = star.sales_from_star(spark, FOLDER, ("order_date", "sales"))
+    assert "PushedFilters: [IsNotNull(o_orderdate)" in plan(sales.filter("order_date > date'1996-01-01'"))
+
+
+@pytest.mark.parametrize("name", ["segment_kpis", "sql_top_customers", "product_kpis", "sql_segments"])
+def test_grand_total_reuses_the_shuffle_of_the_groups(spark, name):
+    df = registry.queries()[name](spark, FOLDER)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
+@pytest.mark.parametrize("name", ["churned_customers", "new_customers"])
+def test_calendar_reuses_the_shuffle_of_the_pairs(spark, name):
+    df = registry.queries()[name](spark, FOLDER)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
+def test_distinct_counts_are_folded_before_the_shuffle(spark):
+    text = plan(revenue.mrr_monthly(star.clean_sales_from_star(spark, FOLDER)))
+    first = text[text.rindex("Exchange hashpartitioning(year_month"):]
+    assert first.index("partial_sum") < first.index("Expand")
