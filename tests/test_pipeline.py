@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from saldo.operators import quality, revenue
 from saldo.plans import pipeline, reports
 from saldo.sources import warehouse
-from saldo.sources.scratch import new_folder, shared_folder
+from saldo.sources.scratch import new_folder, settle, shared_folder
+from tests.frames import frame, in_cents
 from tests.test_csv import write
 
 ROWS = [
@@ -84,6 +85,14 @@ def test_reports_go_on_after_a_failure(spark, tmp_path):
     assert read(tmp_path / "depois") == read(tmp_path / "antes")
 
 
+def test_reports_over_no_sales(spark, tmp_path):
+    empty = in_cents(frame(spark, []))
+    settled = settle(empty, "empty")
+    for i, sales in enumerate((empty, settled)):
+        status = reports.run_reports(sales, str(tmp_path / str(i)))
+        assert {(r.ok, r.linhas) for r in status.collect()} == {(True, 0)}
+
+
 def test_sql_text_over_the_view(spark):
     spark.createDataFrame([(1,), (2,)], "a int").createOrReplaceTempView("numeros")
     assert reports.run_sql(spark, "SELECT sum(a) AS s FROM numeros").collect()[0].s == 3
