@@ -67,7 +67,9 @@ def _warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _report_batch(spark: SparkSession, folder: str) -> DataFrame:
-    sales = scratch.settle(star.sales_from_star(spark, folder), "sales")
+    columns = ("order_id", "customer_id", "customer_name", "segment", "product", "sales", "discount",
+               "profit", "year", "month", "quarter", "year_month")
+    sales = scratch.settle(star.sales_from_star(spark, folder, columns), "sales")
     status = reports.run_reports(sales, scratch.new_folder(spark, "reports"))
     return status.select("relatorio", "ok", "linhas")
 

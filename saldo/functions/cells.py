@@ -22,9 +22,16 @@ def to_number(text: Column, precision: int = 18, scale: int = 4) -> Column:
     return text.try_cast(f"decimal({precision},{scale})")
 
 
+def _parse(text: Column, form: str) -> Column:
+    # A failed parse is slow, so texts without the format's separator are not parsed at all.
+    separator = next((c for c in form if not c.isalpha()), None)
+    parsed = F.try_to_date(text, form)
+    return F.when(text.contains(separator), parsed) if separator else parsed
+
+
 def to_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date by the first format that fits, NULL where none does."""
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*[_parse(text, f) for f in formats])
 
 
 def strip(text: Column) -> Column:

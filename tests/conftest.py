@@ -8,8 +8,10 @@ def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     session = build_session(
         "tests", "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
+        spark__default__parallelism="2",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
         spark__checkpoint__dir=str(shared / "checkpoint"),
         spark__sql__warehouse__dir=str(shared / "warehouse"),

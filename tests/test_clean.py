@@ -1,5 +1,6 @@
-from datetime import date
-from decimal import Decimal
+import random
+from datetime import date, datetime
+from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,60 @@ def test_hot_key_is_folded_before_the_shuffle(spark):
     shuffle = plan.index("Exchange hashpartitioning")
     assert plan.count("WindowGroupLimit", 0, shuffle) == 1
     assert plan.count("WindowGroupLimit", shuffle) >= 1
+
+
+def _decimal(text, step="0.0001"):
+    try:
+        return Decimal(text.strip()).quantize(Decimal(step), ROUND_HALF_UP)
+    except (AttributeError, InvalidOperation):
+        return None
+
+
+def _day(text):
+    for form in ("%m/%d/%Y", "%Y-%m-%d"):
+        try:
+            return datetime.strptime(text, form).date()
+        except (TypeError, ValueError):
+            pass
+    return None
+
+
+def _clean_by_hand(rows):
+    """(row_id, customer, date, sales, quantity, discount) of the rows that stay."""
+    seen, kept = set(), []
+    for r in rows:
+        if r["Row ID"] in seen:
+            continue
+        seen.add(r["Row ID"])
+        number = {h: _decimal(r[h]) for h in ("Sales", "Profit", "Quantity", "Discount")}
+        day = _day(r["Order Date"])
+        needed = (number["Sales"], number["Profit"], number["Quantity"], day, r["Customer ID"])
+        if None not in needed:
+            name = r["Customer"].strip() if r["Customer"] is not None else None
+            quantity = int(number["Quantity"].quantize(Decimal(1), ROUND_HALF_UP))
+            kept.append((int(r["Row ID"]) if r["Row ID"] else None, name, day, number["Sales"],
+                         quantity, number["Discount"] or Decimal(0)))
+    return kept
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_clean_against_a_loop_over_rows(spark, seed):
+    rng = random.Random(seed)
+    rows = [{
+        **FULL,
+        "Row ID": rng.choice([None, *map(str, range(120))]),
+        "Customer": rng.choice(["a", " b ", "\u2003c\u00a0", "", None]),
+        "Customer ID": rng.choice(["1", "2", "3", None]),
+        "Order Date": rng.choice(["1/2/2020", "12/31/2020", "2020-02-29", "2/30/2020", "x", None]),
+        "Sales": rng.choice(["1.00005", "12", " 7.5 ", "-3", "x", None]),
+        "Profit": rng.choice(["1", "-2.5", "1,0", None, "3", "4"]),
+        "Quantity": rng.choice(["1", "2.5", "0.4", "x", "9"]),
+        "Discount": rng.choice(["0", "0.15", "x", None]),
+    } for _ in range(300)]
+    expected = _clean_by_hand(rows)
+    got = [(r.row_id, r.customer_name, r.order_date, r.sales, r.quantity, r.discount)
+           for r in cleaning.clean(raw(spark, *rows)).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    counts = cleaning.clean_counts(raw(spark, *rows)).collect()[0]
+    bad_dates = sum(_day(r["Order Date"]) is None for r in rows)
+    assert tuple(counts) == (300, bad_dates, 300 - len(expected), len(expected))
