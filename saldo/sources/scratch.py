@@ -2,25 +2,35 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_passing: list[str] = []
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="saldo-")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only where none is named, as in tests."""
+    """The folder the cluster names; a temporary one only for local sessions without one."""
     folder = spark.conf.get(_SETTING, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder all executors reach")
-        folder = tempfile.mkdtemp(prefix="saldo-")
-        spark.conf.set(_SETTING, folder)
-    return folder
+    if folder:
+        return folder
+    if spark.sparkContext.master.startswith("local"):
+        return _local_folder()
+    raise ValueError(f"set {_SETTING} to a folder all executors reach")
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, name: str, *, keep: bool = False) -> str:
+    """Name of a fresh folder; without `keep`, `discard` removes it."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if not keep:
+        _passing.append(path)
+    return path
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
@@ -28,3 +38,11 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Removes the passing folders of this process; frames settled there end with them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _passing:
+        path = hadoop(_passing.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

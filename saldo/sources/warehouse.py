@@ -21,7 +21,7 @@ def load_table(clean: DataFrame, name: str = SALES_TABLE, folder: str | None = N
     rule or a failed write leaves the table on its old version.
     """
     spark = clean.sparkSession
-    version = folder or new_folder(spark, name)
+    version = folder or new_folder(spark, name, keep=True)
     quality.to_table_types(clean).write.parquet(version)
     written = spark.read.parquet(version)
     quality.require_valid(written, segments)

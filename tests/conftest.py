@@ -1,11 +1,11 @@
 import pytest
 
 from saldo.session import build_session
+from saldo.sources import scratch
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    shared = tmp_path_factory.mktemp("shared")
     session = build_session(
         "tests", "local[8]",
         spark__sql__shuffle__partitions="4",
@@ -13,9 +13,9 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
-        spark__checkpoint__dir=str(shared / "checkpoint"),
-        spark__sql__warehouse__dir=str(shared / "warehouse"),
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    scratch.discard(session)
     session.stop()

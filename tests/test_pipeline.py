@@ -2,11 +2,12 @@ import csv as plain_csv
 import glob
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from saldo.operators import quality, revenue
 from saldo.plans import pipeline, reports
-from saldo.sources import warehouse
+from saldo.sources import scratch, warehouse
 from saldo.sources.scratch import new_folder, settle, shared_folder
 from tests.frames import frame, in_cents
 from tests.test_csv import write
@@ -99,7 +100,28 @@ def test_sql_text_over_the_view(spark):
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
-    folder = spark.conf.get("spark.checkpoint.dir")
-    assert shared_folder(spark) == folder
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_folder(spark)
+    assert folder == named or (named is None and folder == shared_folder(spark))
     assert new_folder(spark, "x").startswith(folder + "/x-")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_without_a_named_folder_only_local_sessions_get_one(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_SETTING", "spark.saldo.absent")
+    assert shared_folder(spark) == shared_folder(spark)
+    fake = type("Cluster", (), {"conf": spark.conf, "sparkContext": type("C", (), {"master": "yarn"})})
+    with pytest.raises(ValueError, match="set spark.saldo.absent"):
+        shared_folder(fake)
+
+
+def test_discard_removes_settled_frames_but_no_table_version(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scratch, "_passing", [])
+    df = settle(spark.range(3).toDF("a"), "gone")
+    (gone,) = scratch._passing
+    kept = new_folder(spark, "kept", keep=True)
+    df.write.parquet(kept)
+    scratch.discard(spark)
+    assert spark.read.parquet(kept).count() == 3
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(gone)
