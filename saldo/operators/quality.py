@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.schema import NOT_NULL, SEGMENTS, TABLE, TEXT_LENGTHS
+from saldo.sources.scratch import settle
 
 UNIQUE_RULE = "row_id_unique"
 
@@ -54,13 +55,14 @@ def _repeated_keys(typed: DataFrame) -> DataFrame:
 def flag(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
     """Adds `violations`, the names of the broken rules; every copy of a repeated id is flagged.
 
-    Only the repeated ids are joined back. That side is small in ordinary data, which
-    adaptive execution sees at run time; the join is left to it.
+    The repeated ids are settled first, in a job of their own over one column. Their size is
+    then known when the join is planned: few of them, as in ordinary data, are broadcast and
+    the rows stay where they are; many are joined by shuffle, with hot ids split.
     """
     rules = [F.when(_broken(rule), F.lit(name)) for name, rule in row_rules(segments).items()]
     repeated = F.when(F.col("copies").isNotNull(), F.lit(UNIQUE_RULE))
     return (
-        typed.join(_repeated_keys(typed), "row_id", "left")
+        typed.join(settle(_repeated_keys(typed), "repeated-ids"), "row_id", "left")
         .withColumn("violations", F.array_compact(F.array(*rules, repeated)))
         .drop("copies")
         .select(*typed.columns, "violations")
