@@ -18,6 +18,12 @@ from saldo.plans import reports
 from saldo.schema import HEADERS
 from saldo.sources import csv, scratch, star, warehouse
 
+try:  # the operators for training data are a part that may be absent
+    import corpus_pipeline
+    from saldo.llm import queries as training
+except ImportError:
+    training = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The market segments of the test tables stand for the segments the sales table accepts.
@@ -215,7 +221,10 @@ def queries() -> dict[str, Query]:
     def exported(query: Query) -> Query:
         return lambda spark, folder: _export(query(spark, folder))
 
-    return {name: exported(query) for name, query in _QUERIES.items()}
+    named = {name: exported(query) for name, query in _QUERIES.items()}
+    if training:
+        named |= training.QUERIES | {"pipeline": corpus_pipeline.run}
+    return named
 
 
 # ---- oracle -----------------------------------------------------------------
@@ -495,7 +504,7 @@ def oracle_sql() -> dict[str, str]:
     revenue_f = "CAST(sum(sales) AS DOUBLE) AS receita, CAST(sum(profit) AS DOUBLE) AS lucro"
     total = "sum(sum(sales)) OVER ()"
     customers = "count(DISTINCT customer_id)"
-    return {
+    return (training.ORACLE_SQL if training else {}) | {
         "csv_scan": f"WITH bruto AS (SELECT {_SCANNED} {_JOINED}) SELECT {scanned} FROM bruto",
         "clean_roundtrip": _UNSCANNED_CTE + _clean_select("nullif(industry, 'None')", "DECIMAL(18,4)"),
         "warehouse_load": _UNSCANNED_CTE + _clean_select("industry", "DECIMAL(12,2)"),

@@ -11,11 +11,16 @@ def db():
     return connect(FOLDER)
 
 
+# Queries of the part that may be absent have tests of their own.
+OWN = sorted(registry._QUERIES)
+
+
 def test_every_query_has_an_oracle():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(OWN) <= set(registry.oracle_sql())
+    assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_oracle(spark, db, name):
     df = registry.queries()[name](spark, FOLDER)
     assert mismatch(df, db, registry.oracle_sql()[name]) is None
