@@ -13,14 +13,15 @@ their sets less up to two shingles, which misses none.
 
 Links are needed only to tell which documents hang together. Each member of a list is first
 compared with the smallest member. Members of a list that are then in different components are
-compared with one another. So copies in thousands make no pairs in millions, yet no pair of a
-list is left undecided.
+compared with one another, with those of large components block by block. So copies in
+thousands make no pairs in millions, yet no pair of a list is left undecided.
 """
 
 from bisect import bisect_left
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -38,8 +39,10 @@ _STRIPS = {8: (10, 24), 16: (24, 52), 32: (52, 1 << 62)}
 _SMALL = 9  # up to here two sets of similarity 0.8 differ by two shingles at most
 #: Of 32 hashes of a union at similarity 0.8, 25.6 are in both sets, under 13 in 2e-7 of cases.
 _SKETCH_LEAST = 13
-#: Of the 64 bits of two signatures 57.6 agree at 0.8, under 44 in fewer than 1e-7 of cases.
-_BITS_LEAST, _BITS_FROM = 44, 128
+#: Of the 64 bits of two signatures 57.6 or more agree at 0.8, under 44 in 5e-7 of cases.
+_BITS_LEAST = 44
+#: Components of so many documents are compared as a whole, in blocks of rows of each side.
+_LARGE, _BLOCK = 64, 512
 
 _SKETCHED = ("doc_id bigint, n_shingles bigint, same binary, bits bigint, "
              "sketch array<bigint>, lists array<bigint>")
@@ -148,7 +151,7 @@ def _may_link(a: str, b: str) -> Column:
     """What sizes and signatures leave possible."""
     n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     agree = 64 - F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
-    return _near_size(n, m) & ((F.least(n, m) < _BITS_FROM) | (agree >= _BITS_LEAST))
+    return _near_size(n, m) & (agree >= _BITS_LEAST)
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, id_col: str,
@@ -208,9 +211,12 @@ def classes(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: s
              .select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
     links = _links(settle(stars, "stars"), nodes, docs, words, id_col, text_col)
     labels = components(links)
-    more = _links(_across(lists, labels), nodes, docs, words, id_col, text_col)
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    sizes = labels.groupBy("label").count().filter(F.col("count") >= _LARGE)
+    large = settle(sizes.select(F.col("label").alias("large"), F.col("count").alias("members")), "large")
+    still = _open(lists, labels)
+    near = _links(_between_small(still, large), nodes, docs, words, id_col, text_col)
+    more = near.union(_to_large(still, labels, large, nodes, docs, words, id_col, text_col))
+    labels = components(settle(links.union(more), "all-links"))
     labelled = nodes.join(labels, "node", "left").select(
         "same", "first", F.coalesce("label", "node").alias("label"))
     names = labelled.groupBy("label").agg(F.min("first").alias("component"))
@@ -223,27 +229,79 @@ def classes(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: s
     )
 
 
-def _across(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of a list that are in different components and may be alike, each once.
-
-    The largest component of a list is not compared with itself, so what is left grows with
-    the members outside it.
-    """
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the lists that have more than one component."""
     members = settle(lists.join(labels, "node", "left").select(
         "key", "node", "n_shingles", "bits", F.coalesce("label", "node").alias("label")), "members")
-    sizes = members.groupBy("key", "label").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"),
-                                    F.count("*").alias("parts"))
-    # One member of a list is outside at least, if it has more than one component.
-    open_lists = settle(main.filter("parts > 1").select("key", "main"), "open-lists")
-    inside = members.join(bounded(open_lists), "key")
-    outside = inside.filter(F.col("label") != F.col("main"))
-    apart = F.col("o.label") != F.col("m.label")
-    once = (F.col("m.label") == F.col("m.main")) | (F.col("o.node") < F.col("m.node"))
-    pairs = outside.alias("o").join(
-        inside.alias("m"), (F.col("o.key") == F.col("m.key")) & apart & once & _may_link("o", "m"))
-    return settle(pairs.select(F.least("o.node", "m.node").alias("a"), F.greatest("o.node", "m.node").alias("b"))
-                  .distinct(), "pairs-across")
+    spread = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    still = settle(spread.filter("low < high").select("key"), "open-lists")
+    return settle(members.join(bounded(still), "key", "left_semi"), "open-members")
+
+
+def _between_small(still: DataFrame, large: DataFrame) -> DataFrame:
+    """Pairs of a list in different components, neither of them large, that may be alike."""
+    small = settle(still.join(bounded(large), F.col("label") == F.col("large"), "left_anti"), "small")
+    pairs = small.alias("a").join(small.alias("b"), (
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
+        & (F.col("a.label") != F.col("b.label")) & _may_link("a", "b")))
+    return settle(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "small-pairs")
+
+
+def _to_large(still: DataFrame, labels: DataFrame, large: DataFrame, nodes: DataFrame, docs: DataFrame,
+              words: int, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) of documents with large components beside which they stand in some list.
+
+    Each such document is compared with all members of the component, by counting shared
+    hashes over an inverted index of a block of members. Blocks bound what a task holds, and
+    only links leave it, at most one for each document and block.
+    """
+    in_list = still.join(bounded(large), F.col("label") == F.col("large")).groupBy("key").agg(
+        F.collect_set("large").alias("beside"))
+    beside = still.join(in_list, "key").groupBy("node", "label").agg(
+        F.array_distinct(F.flatten(F.collect_set("beside"))).alias("beside"))
+    outside = beside.select("node", "label", F.explode("beside").alias("large")).filter("label != large")
+    outside = settle(outside.select("node", "large"), "outside")
+    inside = labels.withColumnRenamed("label", "large").join(
+        bounded(outside.select("large").distinct()), "large", "left_semi")
+    asked = settle(nodes.select("node", "first", "same").join(
+        outside.select("node").union(inside.select("node")).distinct(), "node", "left_semi"), "asked")
+    sets = settle(_full_sets(docs, asked, words, id_col, text_col), "sets")
+    of_out = outside.groupBy("large").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("out_blocks"))
+    blocks = settle(large.join(of_out, "large").withColumn(
+        "in_blocks", F.ceil(F.col("members") / _BLOCK).cast("int")), "blocks")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.xxhash64("node"), own).cast("int").alias(own)
+        return rows.join(bounded(blocks), "large").join(sets, "node").select(
+            "large", "node", "hashes", mine, F.col(other).alias("_n")).select(
+            *[F.col(c).alias(c) for c in ("large", "node", "hashes", own)],  # new columns for each side
+            F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias(other))
+
+    def compare(members: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(members) and len(others):
+            sizes = np.array([len(h) for h in members["hashes"]])
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            flat = np.concatenate(members["hashes"].to_numpy())
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for node, own in zip(others["node"], others["hashes"]):
+                low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+                hit = np.flatnonzero(high > low)
+                if not len(hit):
+                    continue
+                counts = (high - low)[hit]
+                places = np.repeat(low[hit] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+                shared = np.bincount(owner[places], minlength=len(sizes))
+                alike = np.flatnonzero(100 * shared >= SIMILAR * (sizes + len(own) - shared))
+                if len(alike):
+                    found.append((node, members["node"].iloc[alike[0]]))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    keys = ["large", "in_blocks", "out_blocks"]
+    left = dealt(inside, "in_blocks", "out_blocks").groupBy(*keys)
+    right = dealt(outside, "out_blocks", "in_blocks").groupBy(*keys)
+    return settle(left.cogroup(right).applyInPandas(compare, "a bigint, b bigint"), "large-links")
 
 
 def deduplicate(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
