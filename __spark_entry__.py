@@ -200,6 +200,9 @@ _QUERIES: dict[str, Query] = {
     "latest_month_kpis": _clean_report(revenue.latest_month_kpis, *_MONTH),
     "segment_kpis": _clean_report(
         revenue.segment_kpis, "segment", "customer_id", "order_id", "sales", "profit"),
+    "segment_report": _clean_report(
+        lambda sales: revenue.segment_report(revenue.segment_kpis(sales)),
+        "segment", "customer_id", "order_id", "sales", "profit"),
     "product_kpis": _clean_report(
         revenue.product_kpis, "product", "customer_id", "sales", "profit"),
     "customer_activity": _table_report(retention.customer_activity, *_ACTIVITY),
@@ -333,8 +336,8 @@ SELECT c.year_month AS periodo,
 FROM calendario c WHERE c.i > 1),
 churn AS (
 SELECT *,
-       round_even((CAST(sairam AS DOUBLE) / clientes_ini * 100) * 100, 0) / 100 AS churn_pct,
-       round_even(((1 - CAST(sairam AS DOUBLE) / clientes_ini) * 100) * 100, 0) / 100 AS retencao_pct
+       CAST(printf('%.2f', CAST(sairam AS DOUBLE) / clientes_ini * 100) AS DOUBLE) AS churn_pct,
+       CAST(printf('%.2f', (1 - CAST(sairam AS DOUBLE) / clientes_ini) * 100) AS DOUBLE) AS retencao_pct
 FROM contagem)
 """
 
@@ -475,13 +478,7 @@ def _rule_counts_sql() -> str:
     return _SUSPECTS + " UNION ALL ".join(parts)
 
 
-def _matrix_sql() -> str:
-    months = [f"{year}-{month:02d}" for year in range(1995, 2002) for month in range(1, 13)]
-    cells_ = [
-        f"""CAST(count(*) FILTER (WHERE year_month = '{m}') AS DOUBLE) AS "{m}\""""
-        for m in months if m <= "2001-08"
-    ]
-    return f"{_N} SELECT customer_id, {', '.join(cells_)} FROM vendas GROUP BY customer_id"
+_MATRIX = """PIVOT vendas ON year_month USING CAST(count(*) AS DOUBLE) GROUP BY customer_id"""
 
 
 _SQL_GROWTH = _int_ratio("mrr - antes", "antes", 2, 2, 100)
@@ -588,6 +585,11 @@ SELECT year_month, CAST(mrr AS DOUBLE) AS mrr, CAST(mrr * 12 AS DOUBLE) AS arr,
 SELECT segment, {revenue_f}, {customers} AS clientes, count(DISTINCT order_id) AS pedidos,
   {_frame_pct("sum(profit)", "sum(sales)")} AS margem_pct,
   {_frame_pct("sum(sales)", total)} AS share_pct, {_frame_ratio("sum(sales)", customers)} AS arpu
+FROM vendas GROUP BY segment ORDER BY receita DESC""",
+        "segment_report": f"""{_F}
+SELECT segment, {revenue_f.split(",")[0]},
+  {_frame_pct("sum(profit)", "sum(sales)")} AS margem_pct,
+  {_frame_pct("sum(sales)", total)} AS share_pct, {_frame_ratio("sum(sales)", customers)} AS arpu
 FROM vendas GROUP BY segment ORDER BY receita DESC""",
         "product_kpis": f"""{_F}
 SELECT product, {revenue_f}, {customers} AS clientes,
@@ -596,7 +598,7 @@ SELECT product, {revenue_f}, {customers} AS clientes,
 FROM vendas GROUP BY product ORDER BY receita DESC""",
         "customer_activity": f"""{_N}
 SELECT year_month, customer_id, count(*) AS pedidos FROM vendas GROUP BY year_month, customer_id""",
-        "activity_matrix": _matrix_sql(),
+        "activity_matrix": f"{_N} {_MATRIX}",
         "churned_customers": f"""{_N}{_PAIRS}
 SELECT year_month AS periodo, customer_id FROM sairam JOIN calendario USING (i)""",
         "new_customers": f"""{_N}{_PAIRS}
@@ -607,8 +609,8 @@ SELECT round({_mean("churn_pct")}, 6) AS churn_pct_medio,
   round({_mean("retencao_pct")}, 6) AS retencao_pct_media FROM churn""",
         "ltv": f"""{_F_MONTHS}{_CHURN}, medias AS (
 SELECT (SELECT {_mean("arpu")} FROM meses) AS arpu, (SELECT {_mean("churn_pct")} FROM churn) / 100 AS taxa)
-SELECT round_even(arpu * 100, 0) / 100 AS arpu_medio,
-  round_even((taxa * 100) * 100, 0) / 100 AS churn_pct,
-  round_even((1 / taxa) * 10, 0) / 10 AS meses_vida,
-  round_even((arpu * (1 / taxa)) * 100, 0) / 100 AS ltv FROM medias""",
+SELECT CAST(printf('%.2f', arpu) AS DOUBLE) AS arpu_medio,
+  CAST(printf('%.2f', taxa * 100) AS DOUBLE) AS churn_pct,
+  CAST(printf('%.1f', 1 / taxa) AS DOUBLE) AS meses_vida,
+  CAST(printf('%.2f', arpu * (1 / taxa)) AS DOUBLE) AS ltv FROM medias""",
     }

@@ -1,5 +1,6 @@
 """Expressions that clean one value: missing texts, numbers, dates, white space."""
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -10,28 +11,53 @@ from saldo.schema import NA_TOKENS
 # Python's own notion of white space, which reaches beyond blanks: str.strip removes it.
 WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
-DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd")
+DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "yyyy/MM/dd")
+
+#: Numbers as read: their rounding to what a table holds comes later, once.
+NUMBER = "decimal(28,10)"
+#: Stands for numbers too large for NUMBER, which no table accepts either.
+TOO_LARGE = "9" * 18
 
 
 def missing_to_null(text: Column) -> Column:
     return F.when(~text.isin(*NA_TOKENS), text)
 
 
-def to_number(text: Column, precision: int = 18, scale: int = 4) -> Column:
-    """Number in a text, NULL where there is none or it does not fit."""
-    return text.try_cast(f"decimal({precision},{scale})")
+def to_number(text: Column) -> Column:
+    """Number in a text, NULL only where there is none.
+
+    A number beyond the type becomes the largest or smallest of its digits: the row counts as
+    complete, and the rules of the sales table refuse it.
+    """
+    number = text.try_cast("double")
+    beyond = F.when(number > 0, F.lit(TOO_LARGE)).when(number < 0, F.lit("-" + TOO_LARGE))
+    return F.coalesce(text.try_cast(NUMBER), beyond.cast(NUMBER))
+
+
+def to_whole(text: Column) -> Column:
+    """Whole number in a text, also in decimal form (`5.0`); NULL otherwise."""
+    number = text.try_cast("decimal(38,10)")
+    return F.when(number == F.floor(number), number.try_cast("bigint"))
+
+
+def _shape(form: str) -> str:
+    """Pattern of the texts that a date format can fit."""
+    def digits(letters: re.Match) -> str:
+        n = len(letters[0])
+        return "[0-9]{1,2}" if n == 1 else f"[0-9]{{{n}}}"
+    return "^" + re.sub("[A-Za-z]+", digits, re.sub(r"([^A-Za-z])", r"\\\1", form)) + "$"
 
 
 def _parse(text: Column, form: str) -> Column:
-    # A failed parse is slow, so texts without the format's separator are not parsed at all.
-    separator = next((c for c in form if not c.isalpha()), None)
+    # A failed parse is slow, so only texts of the right shape are parsed.
     parsed = F.try_to_date(text, form)
-    return F.when(text.contains(separator), parsed) if separator else parsed
+    return F.when(text.rlike(_shape(form)), parsed) if form.isascii() and "MMM" not in form else parsed
 
 
 def to_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """Date by the first format that fits, NULL where none does."""
-    return F.coalesce(*[_parse(text, f) for f in formats])
+    """Date by the first format that fits, NULL where none does; a time of day is left out."""
+    day = F.regexp_replace(text, r"[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9:]+)?$", "")
+    return F.coalesce(*[_parse(day, f) for f in formats])
 
 
 def strip(text: Column) -> Column:

@@ -1,7 +1,8 @@
 """Rounding and ratios of the two value regimes.
 
 Table regime: exact decimals, rounded half away from zero, as SQL does.
-Frame regime: doubles, scaled, rounded half to even and scaled back, as data frames do.
+Frame regime: doubles, scaled, rounded half to even and scaled back, as data frames do;
+churn and lifetime value are rounded one by one instead, by their exact value.
 A zero denominator gives NULL in both.
 """
 
@@ -22,6 +23,22 @@ def frame_round(x: Column, digits: int = 2) -> Column:
     return F.rint(x * scale) / scale
 
 
+def exact_round(x: Column, digits: int = 2) -> Column:
+    """Rounds the exact binary value of a double, as Python's builtin `round` does.
+
+    Scaling rounds too and may make a tie of what is none. Where it did, the rest that it lost
+    (from the product in two halves) says on which side the value lies; a true tie goes to even.
+    """
+    scale = float(10**digits)
+    scaled = x * scale
+    split = x * 134217729.0  # 2**27 + 1
+    high = split - (split - x)
+    rest = (high * scale - scaled) + (x - high) * scale
+    down = F.floor(scaled).cast("double")
+    nearest = F.when((scaled - down != 0.5) | (rest == 0), F.rint(scaled)).when(rest > 0, down + 1).otherwise(down)
+    return nearest / scale
+
+
 def frame_ratio(num: Column, den: Column) -> Column:
     return frame_round(F.try_divide(num.cast("double"), den.cast("double")))
 

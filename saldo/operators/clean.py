@@ -36,7 +36,7 @@ def coerce_numbers(df: DataFrame) -> DataFrame:
         "sales": cells.to_number(F.col("sales")),
         "profit": cells.to_number(F.col("profit")),
         "quantity": cells.to_number(F.col("quantity")),
-        "discount": F.coalesce(cells.to_number(F.col("discount")), F.lit(0).cast("decimal(18,4)")),
+        "discount": F.coalesce(cells.to_number(F.col("discount")), F.lit(0).cast(cells.NUMBER)),
     })
 
 
@@ -82,16 +82,17 @@ def strip_texts(df: DataFrame, columns: Sequence[str] = STRIPPED) -> DataFrame:
 
 def apply_types(df: DataFrame) -> DataFrame:
     """Final column types. What does not fit becomes NULL and is left to the quality rules."""
-    rounded = df.withColumn("quantity", F.round("quantity", 0))
+    rounded = df.withColumn("quantity", F.round("quantity", 0)).withColumns(
+        {c: cells.to_whole(F.col(c)) for c in ("row_id", "date_key")})
     typed = [rounded[f.name].try_cast(f.dataType).alias(f.name) for f in CLEAN.fields]
     known = {f.name for f in CLEAN.fields} | set(POSITION) | {"_row_key"}
     return rounded.select(*typed, *[c for c in df.columns if c not in known])
 
 
 def _with_row_key(df: DataFrame) -> DataFrame:
-    """Key of the deduplication: '7' and '07' are one id, 'x' and 'y' are two."""
+    """Key of the deduplication: '7', '07' and '7.0' are one id, 'x' and 'y' are two."""
     text = F.col("row_id")
-    return df.withColumn("_row_key", F.coalesce(text.try_cast("bigint").cast("string"), text))
+    return df.withColumn("_row_key", F.coalesce(cells.to_whole(text).cast("string"), text))
 
 
 def coerce(raw: DataFrame, formats: Sequence[str] = cells.DATE_FORMATS) -> DataFrame:

@@ -57,8 +57,10 @@ def flag(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
 
     The repeated ids are settled first, in a job of their own over one column. Their size is
     then known when the join is planned: few of them, as in ordinary data, are broadcast and
-    the rows stay where they are; many are joined by shuffle, with hot ids split.
+    the rows stay where they are; many are joined by shuffle, with hot ids split. The rows
+    are settled before, so what is behind them is computed once.
     """
+    typed = settle(typed, "typed-rows")
     rules = [F.when(_broken(rule), F.lit(name)) for name, rule in row_rules(segments).items()]
     repeated = F.when(F.col("copies").isNotNull(), F.lit(UNIQUE_RULE))
     return (
@@ -77,8 +79,17 @@ def rejected_rows(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataF
     return flag(typed, segments).filter(F.size("violations") > 0)
 
 
-def rule_counts(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
-    """(regra, linhas): rows that break each rule, zero included."""
+def split_rows(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, and rejected rows with their violations, from one pass over the source."""
+    flagged = settle(flag(typed, segments), "flagged")
+    fine = F.size("violations") == 0
+    return flagged.filter(fine).drop("violations"), flagged.filter(~fine)
+
+
+def rule_counts(typed: DataFrame, segments: Sequence[str] = SEGMENTS, *, stored: bool = False) -> DataFrame:
+    """(regra, linhas): rows that break each rule, zero included. `stored` rows are not settled again."""
+    if not stored:
+        typed = settle(typed, "typed-rows")
     rules = row_rules(segments)
     counts = typed.agg(*[F.count_if(_broken(rule)).alias(name) for name, rule in rules.items()])
     per_row = counts.unpivot([], list(rules), "regra", "linhas")
@@ -90,8 +101,8 @@ def rule_counts(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFra
 
 
 def require_valid(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> None:
-    """Raises if any row breaks a rule. Reads back one row per broken rule."""
-    broken = rule_counts(typed, segments).filter(F.col("linhas") > 0).collect()
+    """Raises if any row of a stored frame breaks a rule. Reads back one row per broken rule."""
+    broken = rule_counts(typed, segments, stored=True).filter(F.col("linhas") > 0).collect()
     if broken:
         detail = ", ".join(f"{r.regra}: {r.linhas}" for r in broken)
         raise QualityError(f"rows break the rules of the sales table ({detail})")

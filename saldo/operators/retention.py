@@ -11,7 +11,8 @@ row per month has at most twelve rows a year and fits one task.
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from saldo.functions.ratios import frame_ratio, frame_round, mean_of_rounded
+from saldo.functions.ratios import exact_round, frame_ratio, mean_of_rounded
+from saldo.sources.scratch import settle
 
 
 def _by_customer() -> WindowSpec:
@@ -38,9 +39,14 @@ def customer_activity(sales: DataFrame) -> DataFrame:
 def activity_matrix(sales: DataFrame, months: list[str] | None = None) -> DataFrame:
     """One row per customer, one column per month, 0 where inactive.
 
-    Without `months` Spark looks the months up first.
+    Without `months` the activity is settled first and the months are looked up there.
     """
-    pivot = customer_activity(sales).groupBy("customer_id").pivot("year_month", months)
+    activity = customer_activity(sales)
+    if months is None:
+        activity = settle(activity, "activity")
+        found = activity.select("year_month").distinct().orderBy("year_month")
+        months = [r.year_month for r in found.collect()]  # at most twelve a year
+    pivot = activity.groupBy("customer_id").pivot("year_month", months)
     return pivot.agg(F.avg("pedidos")).na.fill(0.0)
 
 
@@ -79,8 +85,8 @@ def _with_churn(states: DataFrame) -> DataFrame:
     })
     rate = F.try_divide(F.col("sairam"), F.col("clientes_ini"))
     return counted.withColumns({
-        "churn_pct": frame_round(rate * 100),
-        "retencao_pct": frame_round((1 - rate) * 100),
+        "churn_pct": exact_round(rate * 100),
+        "retencao_pct": exact_round((1 - rate) * 100),
     })
 
 
@@ -158,10 +164,10 @@ def _ltv(months: DataFrame) -> DataFrame:
     rate = F.col("churn") / 100
     life = F.try_divide(F.lit(1.0), rate)
     return means.select(
-        frame_round(F.col("arpu")).alias("arpu_medio"),
-        frame_round(rate * 100).alias("churn_pct"),
-        frame_round(life, 1).alias("meses_vida"),
-        frame_round(F.col("arpu") * life).alias("ltv"),
+        exact_round(F.col("arpu")).alias("arpu_medio"),
+        exact_round(rate * 100).alias("churn_pct"),
+        exact_round(life, 1).alias("meses_vida"),
+        exact_round(F.col("arpu") * life).alias("ltv"),
     )
 
 

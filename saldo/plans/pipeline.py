@@ -40,11 +40,15 @@ def load(spark: SparkSession, raw_csv: str, clean_csv: str, *, table: str = ware
     sinks read them.
     """
     raw = scratch.settle(csv.read_raw_csv(spark, raw_csv), "raw")
+    counts = scratch.settle(cleaning.clean_counts(raw, formats), "counts")
+    seen = counts.first()
+    if seen.linhas_originais and seen.datas_invalidas == seen.linhas_originais:
+        raise ValueError(f"no row of {raw_csv} has a date in one of {list(formats)}")
     clean = scratch.settle(cleaning.clean(raw, formats), "clean")
     csv.write_csv(clean, clean_csv)
     sales = warehouse.load_table(clean, table, segments=segments)
     return Load(
-        counts=cleaning.clean_counts(raw, formats),
+        counts=counts,
         sales=sales,
         view=warehouse.create_monthly_view(sales),
         summary=revenue.load_summary(clean),

@@ -1,6 +1,6 @@
 """The named reports over the sales table, one by one or as a batch."""
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +21,9 @@ SQL_REPORTS: dict[str, Report] = {
     "sql_descontos": revenue.sql_discount_bands,
 }
 
+# Bounded by months, quarters, segments, bands or the ten rows of a top list; products are not.
+SMALL_REPORTS = frozenset(SQL_REPORTS) | {"mrr_mensal", "churn_mensal", "por_segmento"}
+
 _STATUS = "relatorio string, ok boolean, linhas bigint, erro string"
 
 
@@ -34,25 +37,28 @@ def plain_numbers(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in decimals}) if decimals else df
 
 
-def _run(report: Report, sales: DataFrame, path: str) -> tuple:
+def _run(report: Report, sales: DataFrame, path: str, one_file: bool) -> tuple:
     """Writes one report; gives (ok, row count as observed on the way, error)."""
     seen = Observation()
     try:
         result = plain_numbers(report(sales)).observe(seen, F.count(F.lit(1)).alias("rows"))
-        write_csv(result, path, one_file=True)
+        write_csv(result, path, one_file=one_file)
         return True, seen.get.get("rows", 0), None
     except Exception as error:  # noqa: BLE001 - noted in the status, and the batch goes on
-        return False, None, str(error).splitlines()[0]
+        return False, None, ": ".join([type(error).__name__, *str(error).splitlines()[:1]])
 
 
-def run_reports(sales: DataFrame, folder: str, reports: Mapping[str, Report] = SQL_REPORTS) -> DataFrame:
+def run_reports(sales: DataFrame, folder: str, reports: Mapping[str, Report] = SQL_REPORTS,
+                small: Collection[str] = SMALL_REPORTS) -> DataFrame:
     """Writes each report to its own CSV folder; one that fails does not stop the others.
 
+    Reports named in `small` have few rows and become one file, others as many as tasks.
+
     The reports are submitted together, so that the cluster has work while one of them waits
     for its last tasks. Returns (relatorio, ok, linhas, erro), one row per report.
     """
     with ThreadPoolExecutor(max_workers=max(len(reports), 1)) as pool:
-        runs = [pool.submit(_run, report, sales, f"{folder}/{name}") for name, report in reports.items()]
+        runs = [pool.submit(_run, report, sales, f"{folder}/{name}", name in small) for name, report in reports.items()]
         status = [(name, *run.result()) for name, run in zip(reports, runs)]
     return sales.sparkSession.createDataFrame(status, _STATUS)
 

@@ -52,6 +52,7 @@ TEXT_LENGTHS = {
     "year_month": 7,
 }
 
+# Columns that must be filled after coercion, are stripped, may not be null in the table.
 REQUIRED_AFTER_COERCION = ("sales", "customer_id", "order_date", "quantity", "profit")
 STRIPPED = ("customer_name", "segment", "product", "region")
 NOT_NULL = (
@@ -59,12 +60,14 @@ NOT_NULL = (
     "sales", "quantity", "discount", "profit", "year", "month", "quarter", "year_month",
 )
 
-CLEAN_MONEY = T.DecimalType(18, 4)
+#: As in the texts; the table rounds to cents, once.
+CLEAN_MONEY = T.DecimalType(28, 10)
+STAR_MONEY = T.DecimalType(18, 4)  # exact for what the star holds
 TABLE_MONEY = T.DecimalType(12, 2)
 DISCOUNT = T.DecimalType(5, 4)
 
 
-def _sales_schema(money: T.DecimalType) -> T.StructType:
+def _sales_schema(money: T.DecimalType, discount: T.DecimalType) -> T.StructType:
     special = {
         # Wider than the 32-bit key of a small database: 100 TB hold more than 2^31 rows.
         "row_id": T.LongType(),
@@ -72,7 +75,7 @@ def _sales_schema(money: T.DecimalType) -> T.StructType:
         "date_key": T.IntegerType(),
         "sales": money,
         "quantity": T.IntegerType(),
-        "discount": DISCOUNT,
+        "discount": discount,
         "profit": money,
     }
     fields = [T.StructField(c, special.get(c, T.StringType())) for c in HEADERS.values()]
@@ -82,5 +85,5 @@ def _sales_schema(money: T.DecimalType) -> T.StructType:
 
 
 RAW = T.StructType([T.StructField(h, T.StringType()) for h in HEADERS])
-CLEAN = _sales_schema(CLEAN_MONEY)
-TABLE = _sales_schema(TABLE_MONEY)
+CLEAN = _sales_schema(CLEAN_MONEY, CLEAN_MONEY)
+TABLE = _sales_schema(TABLE_MONEY, DISCOUNT)

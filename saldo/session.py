@@ -12,13 +12,18 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
+# A shuffle starts with this many partitions, which are merged as they turn out small: Spark's
+# 200 would be an upper limit, half a terabyte each at 100 TB. Local sessions keep their own.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
-    """Session with SETTINGS; `conf` keys use `__` for dots and win over SETTINGS."""
+    """Session with SETTINGS, on a cluster CLUSTER_SETTINGS too; `conf` keys use `__` for dots and win over SETTINGS."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     overrides = {k.replace("__", "."): v for k, v in conf.items()}
-    for key, value in {**SETTINGS, **overrides}.items():
+    cluster = {} if (master or "").startswith("local") else CLUSTER_SETTINGS
+    for key, value in {**SETTINGS, **cluster, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -17,7 +17,7 @@ def _local_folder() -> str:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names; a temporary one only for local sessions without one."""
-    folder = spark.conf.get(_SETTING, None)
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     if spark.sparkContext.master.startswith("local"):
@@ -42,7 +42,24 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
 def discard(spark: SparkSession) -> None:
     """Removes the passing folders of this process; frames settled there end with them."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     while _passing:
-        path = hadoop(_passing.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, _passing.pop())
+
+
+def _store(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, store = _store(spark, path)
+    store.delete(at, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Folders in a folder, the last written first."""
+    at, store = _store(spark, path)
+    if not store.exists(at):
+        return []
+    found = [(s.getModificationTime(), s.getPath().toString()) for s in store.listStatus(at) if s.isDirectory()]
+    return [p for _, p in sorted(found, reverse=True)]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from saldo.functions.cells import month_key
-from saldo.schema import CLEAN_MONEY, TABLE_MONEY
+from saldo.schema import STAR_MONEY, TABLE_MONEY
 
 SALES_COLUMNS = (
     "row_id", "order_id", "customer_id", "customer_name", "order_date", "country", "region",
@@ -117,7 +117,7 @@ def sales_from_star(spark: SparkSession, folder: str, columns: Sequence[str] = S
 
 def clean_sales_from_star(spark: SparkSession, folder: str,
                           columns: Sequence[str] = SALES_COLUMNS) -> DataFrame:
-    return sales_from_star(spark, folder, columns, CLEAN_MONEY)
+    return sales_from_star(spark, folder, columns, STAR_MONEY)
 
 
 def _text(value: Column) -> Column:
@@ -132,7 +132,7 @@ def raw_from_star(spark: SparkSession, folder: str) -> DataFrame:
     """
     part_key, supplier_key = F.col("l_partkey"), F.col("l_suppkey")
     date = F.col("o_orderdate")
-    sales = (price() * (1 - line_discount())).cast(CLEAN_MONEY)
+    sales = (price() * (1 - line_discount())).cast(STAR_MONEY)
     columns = {
         "Row ID": _text(row_key()),
         "Order ID": _text(F.col("l_orderkey")),
@@ -152,7 +152,7 @@ def raw_from_star(spark: SparkSession, folder: str) -> DataFrame:
         "Sales": F.when((part_key + supplier_key) % 37 == 0, "n/a").otherwise(_text(sales)),
         "Quantity": F.when(part_key % 47 != 0, _text(F.col("l_quantity").cast("int"))),
         "Discount": F.when(part_key % 41 != 0, _text((4 * line_discount()).cast("decimal(5,4)"))),
-        "Profit": _text(profit().cast(CLEAN_MONEY)),
+        "Profit": _text(profit().cast(STAR_MONEY)),
     }
     source = joined(spark, folder, orders=True, customer=True, part=True, nation=True, region=True)
     return source.select(*[c.alias(name) for name, c in columns.items()])
@@ -185,11 +185,11 @@ def suspect_sales_from_star(spark: SparkSession, folder: str) -> DataFrame:
         "segment": F.when(nation_key == 7, "OTHER").when(nation_key != 8, F.col("c_mktsegment")),
         "product": F.concat(F.lit("Product "), _text(F.col("l_partkey"))),
         "license": nothing,
-        "sales": F.when(F.col("l_suppkey") % 53 == 0, F.lit("-0.0040").cast(CLEAN_MONEY))
-        .otherwise(sales.cast(CLEAN_MONEY)),
+        "sales": F.when(F.col("l_suppkey") % 53 == 0, F.lit("-0.0040").cast(STAR_MONEY))
+        .otherwise(sales.cast(STAR_MONEY)),
         "quantity": F.col("l_quantity").cast("int") - 1,
         "discount": (12 * line_discount()).cast("decimal(5,4)"),
-        "profit": profit().cast(CLEAN_MONEY),
+        "profit": profit().cast(STAR_MONEY),
         "year": F.year(date),
         "month": F.month(date),
         "quarter": F.quarter(date),

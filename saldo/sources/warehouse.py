@@ -1,5 +1,6 @@
 """The sales table: full refresh that either replaces everything or nothing."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,25 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 from saldo.operators import quality
 from saldo.operators.revenue import monthly_revenue
 from saldo.schema import SEGMENTS
-from saldo.sources.scratch import new_folder
+from saldo.sources.scratch import folders_in, remove
 
 SALES_TABLE = "vendas"
 MONTHLY_VIEW = "vw_receita_mensal"
+_VERSION = "version-"
 
 
 def load_table(clean: DataFrame, name: str = SALES_TABLE, folder: str | None = None,
-               segments: Sequence[str] = SEGMENTS) -> DataFrame:
+               segments: Sequence[str] = SEGMENTS, former: int = 1) -> DataFrame:
     """Writes a new version of the sales table, checks it, then points the table to it.
 
     The rows are computed once, by the write; the rules read the written columns. A broken
-    rule or a failed write leaves the table on its old version.
+    rule or a failed write leaves the table on its old version and removes the new one.
+    Versions lie in `folder`, by default beside the tables of the warehouse, and in nothing
+    else but a folder of their own; `former` of them stay for queries that still read them.
     """
     spark = clean.sparkSession
-    version = folder or new_folder(spark, name, keep=True)
-    quality.to_table_types(clean).write.parquet(version)
-    written = spark.read.parquet(version)
-    quality.require_valid(written, segments)
-    point_table(spark, name, version)
+    root = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-versions"
+    version = f"{root}/{_VERSION}{uuid.uuid4().hex}"
+    try:
+        quality.to_table_types(clean).write.parquet(version)
+        quality.require_valid(spark.read.parquet(version), segments)
+        point_table(spark, name, version)
+    except Exception:
+        remove(spark, version)
+        raise
+    others = [p for p in folders_in(spark, root)
+              if p.rpartition("/")[2].startswith(_VERSION) and not p.endswith(version.rpartition("/")[2])]
+    for path in others[former:]:
+        remove(spark, path)
     return spark.table(name)
 
 
@@ -41,15 +53,3 @@ def create_monthly_view(sales: DataFrame, name: str = MONTHLY_VIEW) -> DataFrame
     view = monthly_revenue(sales)
     view.createOrReplaceTempView(name)
     return view.sparkSession.table(name)
-
-
-def load_jdbc(clean: DataFrame, url: str, name: str = SALES_TABLE,
-              segments: Sequence[str] = SEGMENTS, **properties: str) -> None:
-    """Full refresh of a database table; the database keeps its definition and checks."""
-    typed = quality.to_table_types(clean)
-    quality.require_valid(typed, segments)
-    (
-        typed.write.format("jdbc").mode("overwrite")
-        .options(url=url, dbtable=name, truncate=True, batchsize=1000, **properties)
-        .save()
-    )

@@ -9,7 +9,7 @@ from saldo.schema import CLEAN_MONEY
 SCHEMA = (
     "order_id string, customer_id string, customer_name string, segment string, product string, "
     "year_month string, year int, month int, quarter int, "
-    "sales decimal(18,4), profit decimal(18,4), discount decimal(5,4)"
+    "sales decimal(28,10), profit decimal(28,10), discount decimal(28,10)"
 )
 
 

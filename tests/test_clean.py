@@ -40,7 +40,7 @@ def test_clean_row(spark):
 
 @pytest.mark.parametrize("text, number", [
     ("abc", None), ("1,234.5", None), ("", None), (" 12.345 ", "12.345"), ("-3", "-3"),
-    ("1e2", "100"), (None, None), ("12.34567", "12.3457"), ("1" * 30, None),
+    ("1e2", "100"), (None, None), ("12.34567", "12.34567"), ("1" * 30, "9" * 18), ("-" + "1" * 30, "-" + "9" * 18),
 ])
 def test_to_number(spark, text, number):
     df = spark.createDataFrame([(text,)], "t string")
@@ -50,7 +50,8 @@ def test_to_number(spark, text, number):
 
 @pytest.mark.parametrize("text, day", [
     ("1/2/2020", date(2020, 1, 2)), ("12/31/2020", date(2020, 12, 31)), ("31/31/2020", None),
-    ("2020-03-04", date(2020, 3, 4)), ("bad", None), (None, None), ("2/30/2020", None),
+    ("2020-03-04", date(2020, 3, 4)), ("2020/03/04", date(2020, 3, 4)),
+    ("2020-01-05 00:00:00", date(2020, 1, 5)), ("2020-01-05T07:08:09.5Z", date(2020, 1, 5)), ("bad", None), (None, None), ("2/30/2020", None),
 ])
 def test_to_date(spark, text, day):
     df = spark.createDataFrame([(text,)], "t string")
