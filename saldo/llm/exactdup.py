@@ -69,7 +69,8 @@ def recipes(docs: DataFrame, hash_of: Hash = hash64, id_col: str = "doc_id",
     if variants.isEmpty():
         hashes = F.transform("chunks", lambda c: hash_of(c)).alias("recipe")
         return settle(chunked.select(row, "doc_id", sha, hashes), "recipes")
-    placed = chunked.select(row, "doc_id", sha, F.posexplode_outer("chunks").alias("place", "chunk"))
+    numbered = chunked.select(row, "doc_id", sha, "chunks")  # before the chunks become rows
+    placed = numbered.select("row", "doc_id", "text_sha256", F.posexplode_outer("chunks").alias("place", "chunk"))
     named = placed.withColumn("hash", hash_of(F.col("chunk"))).join(variants, ["hash", "chunk"], "left")
     one = F.struct("place", "hash", F.coalesce("variant", F.lit(0)).cast("bigint").alias("variant"))
     parts = F.sort_array(F.collect_list(F.when(F.col("place").isNotNull(), one)))
