@@ -8,8 +8,9 @@ language with the largest sum.
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,12 +29,16 @@ MODEL_ROWS = 30_000
 _LEAST_COUNT = 2
 
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHE = 200_000
+_CACHE = 500_000
+
+
+def _has_letter(word: str) -> bool:
+    return word.isalpha() or any(map(str.isalpha, word))
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters, lower case."""
-    return [w for w in _WORD.findall(text.lower()) if any(map(str.isalpha, w))]
+    return [w for w in _WORD.findall(text.lower()) if _has_letter(w)]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -49,34 +54,64 @@ class Model:
     rows: dict[str, int]
     table: np.ndarray
 
+    @cached_property
+    def _grams(self) -> list[dict[str, int]]:
+        """Rows of the n-grams of each length."""
+        out: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        for entry, row in self.rows.items():
+            if entry[1:2] == "|":
+                out[int(entry[0])][entry[2:]] = row
+        return out
+
     def evidence(self, word: str) -> np.ndarray | None:
         row = self.rows.get(word)
         if row is not None:
             return self.table[row]
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            known = [self.rows[g] for g in (f"{n}|{g}" for g in grams(word, n)) if g in self.rows]
+            known = [r for r in map(self._grams[n].get, grams(word, n)) if r is not None]
             if known:
-                return self.table[known].mean(axis=0)
+                return np.add.reduce(self.table[known]) / len(known)
         return None
 
-    def predict(self, text: str | None, seen: dict) -> tuple[str, float]:
+    def predict(self, text: str | None, seen: "Seen") -> tuple[str, float]:
         """Language and its posterior share; `seen` keeps the evidence of words."""
-        words = words_of(text) if text else []
-        if not words or not self.languages:
+        counts = Counter(_WORD.findall(text.lower())) if text else {}
+        if not self.languages or not any(_has_letter(w) for w in counts):
             return UNKNOWN, 0.0
-        total = np.zeros(len(self.languages))
-        for word, count in Counter(words).items():
-            found = seen.get(word, 0)
-            if isinstance(found, int):
-                if len(seen) >= _CACHE:
-                    seen.clear()
-                found = seen[word] = self.evidence(word)
-            if found is not None:
-                total += count * found
+        total = np.fromiter(counts.values(), np.float64, len(counts)) @ seen.evidence(counts)
         best = int(total.argmax())
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
+class Seen:
+    """Evidence of the words met so far, a row each; emptied when it holds `_CACHE` words."""
+
+    def __init__(self, model: Model):
+        self._model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self._places: dict[str, int] = {}
+        self._table = np.zeros((1024, len(self._model.languages)))
+
+    def evidence(self, words: Collection[str]) -> np.ndarray:
+        if len(self._places) >= _CACHE:
+            self._forget()
+        at = [self._places.get(w) for w in words]
+        if None in at:
+            at = [self._add(w) if i is None else i for w, i in zip(words, at)]
+        return self._table[at]
+
+    def _add(self, word: str) -> int:
+        place = self._places[word] = len(self._places)
+        if place == len(self._table):
+            self._table = np.concatenate([self._table, np.zeros_like(self._table)])
+        found = self._model.evidence(word) if _has_letter(word) else None
+        if found is not None:
+            self._table[place] = found
+        return place
+
+
 def _counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
     """(lang, word, n), added up in each task first."""
 
@@ -150,7 +185,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        seen: dict = {}
+        seen = Seen(shared.value)
         for batch in batches:
             yield pd.DataFrame([shared.value.predict(t, seen) for t in batch], columns=["lang_pred", "score"])
 
