@@ -13,11 +13,12 @@ their sets less up to two shingles, which misses none.
 
 Links are needed only to tell which documents hang together. Each member of a list is first
 compared with the smallest member. Members of a list that are then in different components are
-compared with one another, with those of large components block by block. So copies in
-thousands make no pairs in millions, yet no pair of a list is left undecided.
+compared with one another, those of large components or of long lists block by block. So
+copies in thousands make no pairs in millions, yet no pair of a list is left undecided.
 """
 
 from bisect import bisect_left
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -214,8 +215,12 @@ def classes(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: s
     sizes = labels.groupBy("label").count().filter(F.col("count") >= _LARGE)
     large = settle(sizes.select(F.col("label").alias("large"), F.col("count").alias("members")), "large")
     still = _open(lists, labels)
-    near = _links(_between_small(still, large), nodes, docs, words, id_col, text_col)
-    more = near.union(_to_large(still, labels, large, nodes, docs, words, id_col, text_col))
+    small = _small_members(still, large)
+    per_list = small.groupBy("key").count().filter(F.col("count") >= _LARGE)
+    wide = settle(per_list.select("key", F.ceil(F.col("count") / _BLOCK).cast("int").alias("blocks")), "wide")
+    near = _links(_in_narrow(small, wide), nodes, docs, words, id_col, text_col)
+    more = near.union(_in_wide(small, wide, nodes, docs, words, id_col, text_col)).union(
+        _to_large(still, labels, large, nodes, docs, words, id_col, text_col))
     labels = components(settle(links.union(more), "all-links"))
     labelled = nodes.join(labels, "node", "left").select(
         "same", "first", F.coalesce("label", "node").alias("label"))
@@ -238,15 +243,79 @@ def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return settle(members.join(bounded(still), "key", "left_semi"), "open-members")
 
 
-def _between_small(still: DataFrame, large: DataFrame) -> DataFrame:
-    """Pairs of a list in different components, neither of them large, that may be alike."""
-    small = settle(still.join(bounded(large), F.col("label") == F.col("large"), "left_anti"), "small")
-    pairs = small.alias("a").join(small.alias("b"), (
+def _small_members(still: DataFrame, large: DataFrame) -> DataFrame:
+    """Members of open lists whose component is not large."""
+    return settle(still.join(bounded(large), F.col("label") == F.col("large"), "left_anti"), "small")
+
+
+def _in_narrow(small: DataFrame, wide: DataFrame) -> DataFrame:
+    """Pairs of a list that is not wide, in different components, that may be alike."""
+    narrow = small.join(bounded(wide), "key", "left_anti")
+    pairs = narrow.alias("a").join(narrow.alias("b"), (
         (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node"))
         & (F.col("a.label") != F.col("b.label")) & _may_link("a", "b")))
     return settle(pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "small-pairs")
 
 
+def _in_wide(small: DataFrame, wide: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, id_col: str,
+             text_col: str) -> DataFrame:
+    """Links (a, b) between the members of each wide list (key, blocks).
+
+    The members are dealt to blocks, and each two blocks are compared by an inverted index. Only
+    links that join what is not joined yet leave a task, fewer than it has members.
+    """
+    members = settle(small.select("key", "node", "label").join(bounded(wide), "key"), "wide-members")
+    asked = settle(nodes.select("node", "first", "same").join(
+        members.select("node").distinct(), "node", "left_semi"), "asked")
+    sets = settle(_full_sets(docs, asked, words, id_col, text_col), "sets")
+    own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    dealt = members.join(sets, "node").select("key", "node", "label", "hashes", "blocks", own.alias("block")).select(
+        "key", "node", "label", "hashes", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                         "node", "label", "hashes", "block")
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = (rows[rows["block"] == block] for block in key[1:])
+        found, root = [], {label: label for label in rows["label"]}
+
+        def top(label: int) -> int:
+            while root[label] != label:
+                root[label] = label = root[root[label]]
+            return label
+
+        if len(left) and len(right):
+            alike = _matcher(left["hashes"].to_numpy())
+            names, labels = left["node"].to_numpy(), left["label"].to_numpy()
+            for node, label, hashes in zip(right["node"], right["label"], right["hashes"]):
+                for i in alike(hashes):
+                    a, b = top(labels[i]), top(label)
+                    if a != b:
+                        root[a] = b
+                        found.append((node, names[i]))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return settle(cells.groupBy("key", "low", "high").applyInPandas(compare, "a bigint, b bigint"), "wide-links")
+
+
+def _matcher(sets: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """For a set, the places of those of `sets` that are alike, by an index of their hashes."""
+    sizes = np.array([len(h) for h in sets])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+
+    def alike(own: np.ndarray) -> np.ndarray:
+        low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+        hit = np.flatnonzero(high > low)
+        counts = (high - low)[hit]
+        places = np.repeat(low[hit] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        shared = np.bincount(owner[places], minlength=len(sizes))
+        return np.flatnonzero((shared > 0) & (100 * shared >= SIMILAR * (sizes + len(own) - shared)))
+
+    return alike
+
+
 def _to_large(still: DataFrame, labels: DataFrame, large: DataFrame, nodes: DataFrame, docs: DataFrame,
               words: int, id_col: str, text_col: str) -> DataFrame:
     """Links (a, b) of documents with large components beside which they stand in some list.
@@ -280,22 +349,11 @@ def _to_large(still: DataFrame, labels: DataFrame, large: DataFrame, nodes: Data
     def compare(members: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(members) and len(others):
-            sizes = np.array([len(h) for h in members["hashes"]])
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            flat = np.concatenate(members["hashes"].to_numpy())
-            order = np.argsort(flat, kind="stable")
-            flat, owner = flat[order], owner[order]
+            alike = _matcher(members["hashes"].to_numpy())
             for node, own in zip(others["node"], others["hashes"]):
-                low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
-                hit = np.flatnonzero(high > low)
-                if not len(hit):
-                    continue
-                counts = (high - low)[hit]
-                places = np.repeat(low[hit] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-                shared = np.bincount(owner[places], minlength=len(sizes))
-                alike = np.flatnonzero(100 * shared >= SIMILAR * (sizes + len(own) - shared))
-                if len(alike):
-                    found.append((node, members["node"].iloc[alike[0]]))
+                places = alike(own)
+                if len(places):
+                    found.append((node, members["node"].iloc[places[0]]))
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     keys = ["large", "in_blocks", "out_blocks"]
