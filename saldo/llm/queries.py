@@ -92,4 +92,61 @@ QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_rotation, op3_token_rollup, op4_packing, op5_secret_scan,
     op6_minhash_near_dedup, op7_token_files, op8_decontamination, op9_url_filter, op10_exact_dedup)}
 
-ORACLE_SQL: dict[str, str] = {}
+_EXACT_SQL = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
+           FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id,
+       count(*) OVER (PARTITION BY norm) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
+FROM n
+"""
+
+_NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(words), 2)),
+        lambda i: array_to_string(words[i : i + 1], ' '))) AS shingle FROM w WHERE len(words) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)),
+reached AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, lowest.b) AS component_id,
+       d.doc_id = least(d.doc_id, lowest.b) AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON lowest.a = d.doc_id
+"""
+
+_SECRETS_SQL = r"""
+WITH rules(ord, kind, pattern, part, least) AS (VALUES
+    (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+    (1, 'access', 'AKIA[A-Z0-9]+', 0, 20), (2, 'hex', '[0-9a-f]{24,}', 0, 24)),
+m AS (
+    SELECT doc_id, ord, kind, least, list_transform(string_split_regex(text, pattern), lambda x: length(x)) AS gaps,
+           list_transform(regexp_extract_all(text, pattern), lambda x: length(x)) AS hits,
+           list_transform(CASE WHEN part = 2 THEN regexp_extract_all(text, pattern, 2)
+                          ELSE regexp_extract_all(text, pattern) END, lambda x: length(x)) AS vals
+    FROM documents CROSS JOIN rules),
+placed AS (
+    SELECT *, (list_sum(gaps[1:i]) + coalesce(list_sum(hits[1:i - 1]), 0))::BIGINT AS start
+    FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m)),
+found AS (
+    SELECT doc_id, ord, kind, start, concat_ws(':', kind, start, start + hits[i]) AS span
+    FROM placed WHERE vals[i] >= least),
+per_doc AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY start, ord) AS spans
+    FROM found GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN per_doc USING (doc_id)
+"""
+
+#: DuckDB SQL of the whole result: all pairs for near copies, every pattern on every text for secrets.
+ORACLE_SQL = {"op5_secret_scan": _SECRETS_SQL, "op6_minhash_near_dedup": _NEAR_SQL, "op10_exact_dedup": _EXACT_SQL}

@@ -1,5 +1,6 @@
 """The operators on small tables: brute force, round trips, and the odd cases each must settle."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from saldo.llm import (chat, counts, decontam, exactdup, idfiles, language, near
                        secret_scan, urls)
 from saldo.llm.tokens import Encoder
 from tests.llm import brute
+from tests.oracle import mismatch
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, norm string, row int, kinds string"
@@ -24,7 +26,6 @@ def docs(spark, rows=ODD):
 
 @pytest.fixture(scope="module")
 def table():
-    import duckdb
     return duckdb.connect().execute(f"SELECT doc_id, text, lang FROM '{FOLDER}/documents.parquet'").fetchall()
 
 
@@ -239,3 +240,10 @@ def test_pipeline_stages(spark):
         odd = stage(spark, odd, FOLDER)
         assert odd.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert odd.count() > 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_equal_their_sql(spark, name):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    assert mismatch(queries.QUERIES[name](spark, FOLDER), db, queries.ORACLE_SQL[name]) is None
