@@ -19,6 +19,7 @@ copies in thousands make no pairs in millions, yet no pair of a list is left und
 
 from bisect import bisect_left
 from collections.abc import Callable
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -158,6 +159,8 @@ def _may_link(a: str, b: str) -> Column:
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, id_col: str,
            text_col: str) -> DataFrame:
     """Of settled pairs (a, b) those of similarity 0.8 or more, by sketch and then by full set."""
+    if pairs.isEmpty():
+        return pairs
     left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("of_a"),
                         F.col("n_shingles").alias("n_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("of_b"),
@@ -212,16 +215,9 @@ def classes(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: s
              .select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
     links = _links(settle(stars, "stars"), nodes, docs, words, id_col, text_col)
     labels = components(links)
-    sizes = labels.groupBy("label").count().filter(F.col("count") >= _LARGE)
-    large = settle(sizes.select(F.col("label").alias("large"), F.col("count").alias("members")), "large")
-    still = _open(lists, labels)
-    small = _small_members(still, large)
-    per_list = small.groupBy("key").count().filter(F.col("count") >= _LARGE)
-    wide = settle(per_list.select("key", F.ceil(F.col("count") / _BLOCK).cast("int").alias("blocks")), "wide")
-    near = _links(_in_narrow(small, wide), nodes, docs, words, id_col, text_col)
-    more = near.union(_in_wide(small, wide, nodes, docs, words, id_col, text_col)).union(
-        _to_large(still, labels, large, nodes, docs, words, id_col, text_col))
-    labels = components(settle(links.union(more), "all-links"))
+    more = _between(lists, labels, nodes, docs, words, id_col, text_col)
+    if more:
+        labels = components(settle(reduce(DataFrame.union, more, links), "all-links"))
     labelled = nodes.join(labels, "node", "left").select(
         "same", "first", F.coalesce("label", "node").alias("label"))
     names = labelled.groupBy("label").agg(F.min("first").alias("component"))
@@ -234,18 +230,36 @@ def classes(docs: DataFrame, words: int = 5, id_col: str = "doc_id", text_col: s
     )
 
 
+def _between(lists: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, id_col: str,
+             text_col: str) -> list[DataFrame]:
+    """Links (a, b) between members of a list in different components, of each way of comparing.
+
+    A way that has nothing to compare runs no jobs.
+    """
+    still = _open(lists, labels)
+    if still.isEmpty():
+        return []
+    sizes = labels.groupBy("label").count().filter(F.col("count") >= _LARGE)
+    large = settle(sizes.select(F.col("label").alias("large"), F.col("count").alias("members")), "large")
+    small = still.join(bounded(large), F.col("label") == F.col("large"), "left_anti")
+    per_list = small.groupBy("key").count().filter(F.col("count") >= _LARGE)
+    wide = settle(per_list.select("key", F.ceil(F.col("count") / _BLOCK).cast("int").alias("blocks")), "wide")
+    found = [_links(_in_narrow(small, wide), nodes, docs, words, id_col, text_col)]
+    if not wide.isEmpty():
+        found.append(_in_wide(small, wide, nodes, docs, words, id_col, text_col))
+    if not large.isEmpty():
+        found.append(_to_large(still, labels, large, nodes, docs, words, id_col, text_col))
+    return found
+
+
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the lists that have more than one component."""
-    members = settle(lists.join(labels, "node", "left").select(
-        "key", "node", "n_shingles", "bits", F.coalesce("label", "node").alias("label")), "members")
-    spread = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    label = F.coalesce("label", "node").alias("label")
+    spread = (lists.select("key", "node").join(labels, "node", "left").select("key", label)
+              .groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")))
     still = settle(spread.filter("low < high").select("key"), "open-lists")
-    return settle(members.join(bounded(still), "key", "left_semi"), "open-members")
-
-
-def _small_members(still: DataFrame, large: DataFrame) -> DataFrame:
-    """Members of open lists whose component is not large."""
-    return settle(still.join(bounded(large), F.col("label") == F.col("large"), "left_anti"), "small")
+    members = lists.join(bounded(still), "key", "left_semi").join(labels, "node", "left")
+    return settle(members.select("key", "node", "n_shingles", "bits", label), "open-members")
 
 
 def _in_narrow(small: DataFrame, wide: DataFrame) -> DataFrame:
