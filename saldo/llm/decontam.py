@@ -1,7 +1,9 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
-Texts are brought to templates: numbers, names and units become typed placeholders. Windows of
-template words are hash-joined. Matches on one diagonal (same distance between the places in
+Texts are brought to two forms. The named form has typed placeholders for numbers, names and
+units. Names are told by their letter case, so the plain form has lower-case words and
+placeholders for numbers only: there, neither letter case nor white space matters. Windows of
+the words of a form are hash-joined. Matches on one diagonal (same distance between the places in
 document and item) are one passage; there each value of an item must stand for one value of
 the document throughout, else the likeness is chance and the passage does not count.
 """
@@ -13,40 +15,60 @@ from saldo.llm.common import bounded, whole, without
 from saldo.sources.scratch import settle
 
 WINDOW = 8
-#: Items of fewer template words are too short to tell; so are windows with more placeholders.
+#: Items of fewer words of a form are too short to tell; so are windows with more placeholders.
 SHORTEST, MOST_SLOTS = 5, 4
-#: A document holds an item if it has half of the item's windows, or this many.
+#: A document holds an item if it has half of the item's windows of a form, or this many.
 COVERAGE, ENOUGH = 0.5, 13
 
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
-_NAMES = r"([\p{Ll},;] )(\p{Lu}\p{L}*(?: \p{Lu}\p{L}*)*)"
+_NAMES = r"([\p{Ll},;]\s+)(\p{Lu}\p{L}*(?:\s+\p{Lu}\p{L}*)*)"
 _NUMBERS = r"\p{Nd}+(?:[.,:/]\p{Nd}+)*"
 # Units that count as such after a number.
-_UNITS = ("(?<=\u0002 ?)(?:km|cm|mm|m|kg|mg|g|t|lb|lbs|oz|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|"
+_UNITS = ("(?<=\u0002\\s{1,2})(?:km|cm|mm|m|kg|mg|g|t|lb|lbs|oz|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|"
           "weeks?|months?|years?|miles?|feet|ft|inch(?:es)?|meters?|metres?|grams?|litres?|liters?|"
           r"dollars?|euros?|cents?|percent|usd|eur|gbp)(?!\p{L})")
 _SPLIT = "[^\\p{L}\\p{Nd}\u0001\u0002\u0003]+"
 
+NAMED, PLAIN = "named", "plain"
+FORMS = (NAMED, PLAIN)
+
+
+def _unmarked(text: Column) -> Column:
+    """The text without characters that stand for placeholders."""
+    return F.translate(text, NAME + NUMBER + UNIT, "   ")
+
 
 def _marked(text: Column) -> tuple[Column, Column, Column]:
-    """The text after names, then numbers, then units were replaced."""
-    named = F.regexp_replace(text, _NAMES, f"$1{NAME}")
-    numbered = F.when(named.rlike(r"\p{Nd}"), F.regexp_replace(named, _NUMBERS, NUMBER)).otherwise(named)
+    """The text after names, then numbers, then units were replaced; each placeholder is a word."""
+    named = F.regexp_replace(text, _NAMES, f"$1 {NAME} ")
+    numbered = F.when(named.rlike(r"\p{Nd}"), F.regexp_replace(named, _NUMBERS, f" {NUMBER} ")).otherwise(named)
     lowered = F.lower(numbered)
-    united = F.when(F.contains(lowered, F.lit(NUMBER)), F.regexp_replace(lowered, _UNITS, UNIT)).otherwise(lowered)
+    united = F.when(F.contains(lowered, F.lit(NUMBER)), F.regexp_replace(lowered, _UNITS, f" {UNIT} ")).otherwise(lowered)
     return named, lowered, united
 
 
-def template(text: Column) -> Column:
-    """Words of the text in lower case, with placeholders."""
+def literal_words(text: Column) -> Column:
+    """Words and numbers of the text in lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(_NUMBERS + r"|\p{L}+"), 0)
+
+
+def _is_number(word: Column) -> Column:
+    return F.substring(word, 1, 1).rlike(r"\p{Nd}")
+
+
+def template(text: Column, form: str = NAMED) -> Column:
+    """Words of the text in lower case, with the placeholders of the form."""
+    text = _unmarked(text)
+    if form == PLAIN:
+        return F.transform(literal_words(text), lambda w: F.when(_is_number(w), NUMBER).otherwise(w))
     return F.filter(F.split(_marked(text)[2], _SPLIT), lambda w: w != "")
 
 
-def _windows(words: Column, size: int, with_slots: bool) -> Column:
+def _windows(words: Column, size: int, with_slots: bool, form: str = NAMED) -> Column:
     """Hashes of all windows of `size` words in order; null for windows that are mostly slots."""
     def of(hashes: Column, slots: Column | None) -> Column:
         def one(i: Column) -> Column:
-            code = F.xxhash64(*[F.get(hashes, i + j) for j in range(size)])
+            code = F.xxhash64(F.lit(form), *[F.get(hashes, i + j) for j in range(size)])
             if slots is None:
                 return code
             return F.when(F.aggregate(F.slice(slots, i + 1, size), F.lit(0), lambda n, s: n + s)
@@ -64,47 +86,54 @@ def _windows(words: Column, size: int, with_slots: bool) -> Column:
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(window, size, item_id, item_at, windows): windows of the items, settled.
+    """(window, form, size, item_id, item_at, windows): windows of the items, settled.
 
-    Items shorter than a window are a window of their own. `windows` counts those of an item.
+    Items shorter than a window are a window of their own. `windows` counts those of an item
+    in a form.
     """
-    items = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), template(whole(text_col)).alias("words"))
-    items = settle(items.filter(F.size("words") >= SHORTEST).distinct(), "items")
+    items = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), *[
+        template(whole(text_col), form).alias(form) for form in FORMS])
+    items = settle(items.distinct(), "items")
     found = []
-    for size in range(SHORTEST, WINDOW + 1):
-        mine = items.filter(F.size("words") == size if size < WINDOW else F.size("words") >= WINDOW)
-        placed = mine.select("item_id", F.posexplode(_windows(F.col("words"), size, True)).alias("item_at", "window"))
-        found.append(placed.filter(F.col("window").isNotNull()).withColumn("size", F.lit(size)))
+    for form in FORMS:
+        for size in range(SHORTEST, WINDOW + 1):
+            mine = items.filter(F.size(form) == size if size < WINDOW else F.size(form) >= WINDOW)
+            placed = mine.select("item_id", F.posexplode(_windows(F.col(form), size, True, form)).alias(
+                "item_at", "window"))
+            found.append(placed.filter(F.col("window").isNotNull()).withColumns(
+                {"form": F.lit(form), "size": F.lit(size)}))
     every = found[0]
     for one in found[1:]:
         every = every.unionByName(one)
-    counts = every.groupBy("item_id").agg(F.count_distinct("item_at").alias("windows"))
-    return settle(every.join(counts, "item_id"), "item-windows")
+    counts = every.groupBy("item_id", "form").agg(F.count_distinct("item_at").alias("windows"))
+    return settle(every.join(counts, ["item_id", "form"]), "item-windows")
 
 
 def matches(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, doc_at, item_id, item_at, windows) of all equal windows.
+    """(doc_id, doc_at, item_id, form, size, item_at, windows) of all equal windows.
 
     The windows of the items are broadcast if they are counted and few, else both sides are
     shuffled by window; then all windows of the documents move.
     """
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most four
-    words = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), template(whole(text_col)).alias("words"))
+    kinds = sorted((r["form"], r["size"]) for r in windows.select("form", "size").distinct().collect())  # at most eight
     held = bounded(windows)
     found = None
-    for size in sizes or [WINDOW]:
-        placed = words.select("doc_id", F.posexplode(_windows(F.col("words"), size, False)).alias("doc_at", "window"))
-        one = placed.join(held.filter(F.col("size") == size), "window").select(
-            "doc_id", "doc_at", "item_id", "item_at", "windows")
-        found = one if found is None else found.unionByName(one)
+    for form in FORMS:
+        words = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), template(whole(text_col), form).alias("words"))
+        for size in [s for f, s in kinds if f == form] or [WINDOW]:
+            placed = words.select("doc_id", F.posexplode(_windows(F.col("words"), size, False, form)).alias("doc_at", "window"))
+            one = placed.join(held.filter((F.col("form") == form) & (F.col("size") == size)), "window").select(
+                "doc_id", "doc_at", "item_id", "form", "size", "item_at", "windows")
+            found = one if found is None else found.unionByName(one)
     return found
 
 
 def _slots(text: Column) -> Column:
-    """(at, kind, value) of each placeholder: its place among the template words, its text."""
+    """(form, at, kind, value) of each placeholder: its place among the words of the form, its text."""
+    text = _unmarked(text)
     named, lowered, united = _marked(text)
     values = F.create_map(
-        F.lit(NAME), F.regexp_extract_all(text, F.lit(_NAMES), 2),
+        F.lit(NAME), F.transform(F.regexp_extract_all(text, F.lit(_NAMES), 2), lambda v: F.regexp_replace(v, r"\s+", " ")),
         F.lit(NUMBER), F.regexp_extract_all(named, F.lit(_NUMBERS), 0),
         F.lit(UNIT), F.regexp_extract_all(lowered, F.lit(_UNITS), 0))
 
@@ -113,17 +142,23 @@ def _slots(text: Column) -> Column:
             spots = F.filter(F.transform(v["w"], lambda w, i: F.struct(i.alias("at"), w.alias("kind"))),
                              lambda s: s["kind"] == mark)
             return F.transform(spots, lambda s, i: F.struct(
-                s["at"].alias("at"), s["kind"].alias("kind"), F.get(v["v"][mark], i).alias("value")))
-        return F.concat(kind(NAME), kind(NUMBER), kind(UNIT))
+                F.lit(NAMED).alias("form"), s["at"].alias("at"), s["kind"].alias("kind"),
+                F.get(v["v"][mark], i).alias("value")))
+        numbers = F.filter(F.transform(v["l"], lambda w, i: F.struct(
+            F.lit(PLAIN).alias("form"), i.alias("at"), F.lit(NUMBER).alias("kind"), w.alias("value"))),
+            lambda s: _is_number(s["value"]))
+        return F.concat(kind(NAME), kind(NUMBER), kind(UNIT), numbers)
 
     words = F.filter(F.split(united, _SPLIT), lambda w: w != "")
-    return F.element_at(F.transform(F.array(F.struct(words.alias("w"), values.alias("v"))), of), 1)
+    return F.element_at(F.transform(F.array(F.struct(
+        words.alias("w"), values.alias("v"), literal_words(text).alias("l"))), of), 1)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_windows, coverage, n_slots, changed), one row for each passage held.
+    """(doc_id, item_id, n_windows, coverage, n_slots, changed), one row for each item a document holds.
 
+    An item is held if it is in either form; the figures are those of the form that covers more.
     `n_windows` counts the item's windows in consistent passages, `n_slots` the placeholders
     compared there, and `changed` those whose values differ: above 0, the item was given other
     values. Documents without id are searched, their id is null; rows that repeat an id count as one.
@@ -133,43 +168,45 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     windows = item_windows(benchmark, item_col, item_text)
     found = settle(matches(docs, windows, id_col, text_col), "window-matches")
     passages = found.withColumn("shift", F.col("doc_at") - F.col("item_at")).groupBy(
-        "doc_id", "item_id", "shift").agg(
+        "doc_id", "item_id", "form", "shift").agg(
         F.count_distinct("item_at").alias("n"), F.first("windows").alias("windows"),
-        F.min("item_at").alias("begin"), (F.max("item_at") + WINDOW).alias("end"))
+        F.min("item_at").alias("begin"), F.max(F.col("item_at") + F.col("size")).alias("end"))
     items = settle(benchmark.select(
         F.col(f"`{item_col}`").alias("item_id"), F.explode(_slots(whole(item_text))).alias("slot"))
         .select("item_id", "slot.*").distinct(), "item-slots")
     passages = settle(passages, "passages")
     # Only passages with placeholders need the texts of their documents again.
-    placed = passages.join(items, "item_id").filter((F.col("at") >= F.col("begin")) & (F.col("at") < F.col("end"))).select(
-        "doc_id", "item_id", "shift", "kind", F.col("value").alias("of_item"), (F.col("at") + F.col("shift")).alias("at"))
+    placed = passages.join(items, ["item_id", "form"]).filter((F.col("at") >= F.col("begin")) & (F.col("at") < F.col("end"))).select(
+        "doc_id", "item_id", "form", "shift", "kind", F.col("value").alias("of_item"), (F.col("at") + F.col("shift")).alias("at"))
     placed = settle(placed, "placed-slots")
     wanted = settle(placed.select(F.col("doc_id").alias("_id")).distinct(), "slot-docs")
     read = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), whole(text_col).alias("text"))
     values = read.join(bounded(wanted), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(
         "doc_id", F.explode(_slots(F.col("text"))).alias("slot")).select(
-        F.col("doc_id").alias("_id"), F.col("slot.at").alias("_at"), F.col("slot.kind").alias("_kind"),
+        F.col("doc_id").alias("_id"), F.col("slot.form").alias("_form"), F.col("slot.at").alias("_at"), F.col("slot.kind").alias("_kind"),
         F.col("slot.value").alias("of_doc"))
     paired = placed.join(values, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("at") == F.col("_at"))
-                         & (F.col("kind") == F.col("_kind")))
-    per_value = paired.groupBy("doc_id", "item_id", "shift", "kind", "of_item").agg(
+                         & (F.col("form") == F.col("_form")) & (F.col("kind") == F.col("_kind")))
+    per_value = paired.groupBy("doc_id", "item_id", "form", "shift", "kind", "of_item").agg(
         F.count_distinct("of_doc").alias("values"), F.count("*").alias("slots"),
         F.count_if(F.lower("of_doc") != F.lower("of_item")).alias("changed"))
-    checked = per_value.groupBy("doc_id", "item_id", "shift").agg(
+    checked = per_value.groupBy("doc_id", "item_id", "form", "shift").agg(
         F.max("values").alias("values"), F.sum("slots").alias("slots"), F.sum("changed").alias("changed"))
     checked = checked.select(F.col("doc_id").alias("_id"), F.col("item_id").alias("_item"),
-                             F.col("shift").alias("_shift"), "values", "slots", "changed")
+                             F.col("form").alias("_form"), F.col("shift").alias("_shift"), "values", "slots", "changed")
     consistent = passages.join(
         checked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("item_id") == F.col("_item"))
-        & (F.col("shift") == F.col("_shift")), "left").filter(F.coalesce("values", F.lit(1)) == 1)
+        & (F.col("form") == F.col("_form")) & (F.col("shift") == F.col("_shift")), "left").filter(F.coalesce("values", F.lit(1)) == 1)
     # Words put in or left out move the diagonal: what an item has on several counts together.
-    per_item = consistent.groupBy("doc_id", "item_id").agg(
+    per_form = consistent.groupBy("doc_id", "item_id", "form").agg(
         F.least(F.sum("n"), F.first("windows")).alias("n_windows"), F.first("windows").alias("windows"),
         F.coalesce(F.sum("slots"), F.lit(0)).alias("n_slots"),
         F.coalesce(F.sum("changed"), F.lit(0)).alias("changed"))
     share = F.col("n_windows") / F.col("windows")
-    return per_item.filter((share >= COVERAGE) | (F.col("n_windows") >= ENOUGH)).select(
-        "doc_id", "item_id", "n_windows", share.alias("coverage"), "n_slots", "changed")
+    held = per_form.filter((share >= COVERAGE) | (F.col("n_windows") >= ENOUGH)).select(
+        "doc_id", "item_id", F.struct(share.alias("coverage"), "n_windows", "n_slots", "changed").alias("best"))
+    return held.groupBy("doc_id", "item_id").agg(F.max("best").alias("best")).select(
+        "doc_id", "item_id", "best.n_windows", "best.coverage", "best.n_slots", "best.changed")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -58,6 +58,16 @@ def secrets(text):
     return (*counts, hashlib.sha256(joined.encode()).hexdigest())
 
 
+def verbatim(rows, items, window):
+    """{(doc_id, item_id)} where a text has half of the item's windows of lower-case words."""
+    def windows(text):
+        w = re.findall(r"\w+", text.lower())
+        return {tuple(w[i: i + window]) for i in range(len(w) - window + 1)}
+
+    kept = [(i, windows(t)) for i, t in items]
+    return {(d, i) for d, t in rows for i, w in kept if 2 * len(w & windows(t)) >= len(w)}
+
+
 def ids_crc32(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 

@@ -172,6 +172,22 @@ def test_leaks(spark):
     assert decontam.leaks(frame, items.limit(0)).count() == 0
 
 
+def test_leaks_in_any_case_and_wrapping(spark):
+    items = {1: "In the old harbour, Prime Minister Anna Brown met Lord Charles Green, Sir Peter Black, Dame Mary Stone "
+                "and twelve quiet sailors near the grey wall",
+             2: "Every spring the gardener of Lower Haven plants nine rows of beans behind the red barn"}
+    texts = []
+    for text in items.values():
+        texts += [text, text.upper(), text.lower(), text.title(), text.replace(" ", "\n"), text.replace(" ", "  "),
+                  "so it was said, " + text + ", and more", "SAID, " + text.upper() + " AND MORE", text.replace(" ", " \n\t"),
+                  " ".join(text.split()[:5])]
+    made = docs(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.coverage for r in decontam.leaks(made, bench).collect()}
+    assert set(found) == brute.verbatim(enumerate(texts), items.items(), decontam.WINDOW)
+    assert len(found) == 18 and set(found.values()) == {1.0}
+
+
 def test_urls(spark):
     texts = [None, "", "no scheme", "http://COM/", "https://www.Example.com/en/1?x", "ftp://a.example.com/en/1#x/y",
              "http://b.net/es/9/", "http://b.net/fr", "http://b.org/" + "a/" * 50, "x://y://z.com/q?://"]
