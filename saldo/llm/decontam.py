@@ -5,7 +5,8 @@ units. Names are told by their letter case, so the plain form has lower-case wor
 placeholders for numbers only: there, neither letter case nor white space matters. Windows of
 the words of a form are hash-joined. Matches on one diagonal (same distance between the places in
 document and item) are one passage; there each value of an item must stand for one value of
-the document throughout, else the likeness is chance and the passage does not count.
+the document throughout, else windows with that value do not count. Windows of the plain form that
+are mostly numbers are matched with the numbers themselves.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +16,8 @@ from saldo.llm.common import bounded, whole, without
 from saldo.sources.scratch import settle
 
 WINDOW = 8
-#: Items of fewer words of a form are too short to tell; so are windows with more placeholders.
+#: Items of fewer words are too short to tell, as is a form of them with fewer; so are windows with
+#: more placeholders, unless the values are the same.
 SHORTEST, MOST_SLOTS = 5, 4
 #: A document holds an item if it has half of the item's windows of a form, or this many.
 COVERAGE, ENOUGH = 0.5, 13
@@ -57,51 +59,77 @@ def _is_number(word: Column) -> Column:
 
 
 def template(text: Column, form: str = NAMED) -> Column:
-    """Words of the text in lower case, with the placeholders of the form."""
+    """Words of the text in lower case, with the placeholders of the form.
+
+    Those of the plain form are at the places of `literal_words`.
+    """
     text = _unmarked(text)
     if form == PLAIN:
-        return F.transform(literal_words(text), lambda w: F.when(_is_number(w), NUMBER).otherwise(w))
-    return F.filter(F.split(_marked(text)[2], _SPLIT), lambda w: w != "")
-
-
-def _windows(words: Column, size: int, with_slots: bool, form: str = NAMED) -> Column:
-    """Hashes of all windows of `size` words in order; null for windows that are mostly slots."""
-    def of(hashes: Column, slots: Column | None) -> Column:
-        def one(i: Column) -> Column:
-            code = F.xxhash64(F.lit(form), *[F.get(hashes, i + j) for j in range(size)])
-            if slots is None:
-                return code
-            return F.when(F.aggregate(F.slice(slots, i + 1, size), F.lit(0), lambda n, s: n + s)
-                          <= min(MOST_SLOTS, size // 2), code)
-        return F.when(F.size(hashes) >= size, F.transform(F.sequence(F.lit(0), F.size(hashes) - size), one))
-
-    # The hashes of the words are bound to a variable, else each window would make them anew.
-    if not with_slots:
-        hashed = F.array(F.transform(words, lambda w: F.xxhash64(w)))
-        return F.element_at(F.transform(hashed, lambda h: of(h, None)), 1)
-    pair = F.array(F.struct(
-        F.transform(words, lambda w: F.xxhash64(w)).alias("h"),
-        F.transform(words, lambda w: w.isin(NAME, NUMBER, UNIT).cast("int")).alias("s")))
-    return F.element_at(F.transform(pair, lambda p: of(p["h"], p["s"])), 1)
+        lowered = F.lower(text)
+        marked = F.when(lowered.rlike(r"\p{Nd}"), F.regexp_replace(lowered, _NUMBERS, f" {NUMBER} ")).otherwise(lowered)
+    else:
+        marked = _marked(text)[2]
+    return F.filter(F.split(marked, _SPLIT), lambda w: w != "")
+
+
+def _windows(text: Column, words: Column, sizes: list[int], form: str, item: bool) -> Column:
+    """(at, window, literal) of all windows of these sizes: their places and hashes.
+
+    Windows that are mostly placeholders have none in the named form. In the plain form they are
+    `literal`: hashed with their values. An item has no other hash of them; a document has both,
+    which is cheaper than telling the windows apart.
+    """
+    def hashed(hashes: Column, starts: Column, size: int, literal: bool) -> Column:
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("at"), F.xxhash64(F.lit(form), F.lit(literal), *[F.get(hashes, i + j) for j in range(size)]).alias("window"),
+            F.lit(literal).alias("literal")))
+
+    def of_size(v: Column, size: int) -> Column:
+        most, last = min(MOST_SLOTS, size // 2), F.size(v["h"]) - size
+        every = F.sequence(F.lit(0), last)
+        if not item and form == NAMED:
+            return F.when(last >= 0, hashed(v["h"], every, size, False)).otherwise(none)
+        # The first and the last of `most` + 1 placeholders in a row, if one window holds both.
+        runs = F.filter(F.transform(v["spots"], lambda a, j: F.struct(a.alias("a"), F.get(v["spots"], j + most).alias("z"))),
+                        lambda r: r["z"] - r["a"] < size)
+        slotted = F.array_distinct(F.flatten(F.transform(runs, lambda r: F.filter(
+            F.sequence(r["z"] - (size - 1), r["a"]), lambda i: (i >= 0) & (i <= last)))))
+        found = hashed(v["h"], F.array_except(every, slotted) if item else every, size, False)
+        if form == PLAIN:
+            # The values are looked up only in texts that have such windows.
+            values = F.transform(literal_words(_unmarked(text)), lambda w: F.xxhash64(w))
+            valued = F.flatten(F.transform(F.array(values), lambda l: hashed(l, slotted, size, True)))
+            found = F.when(F.size(v["spots"]) > most, F.concat(found, valued)).otherwise(found)
+        return F.when(last >= 0, found).otherwise(none)
+
+    none = F.array().cast("array<struct<at:int,window:bigint,literal:boolean>>")
+
+    def parts(w: Column) -> Column:
+        spots = F.filter(F.transform(w, lambda x, i: F.when(x <= UNIT, i)), lambda i: i.isNotNull())
+        return F.struct(F.transform(w, lambda x: F.xxhash64(x)).alias("h"), *(
+            [spots.alias("spots")] if item or form == PLAIN else []))
+
+    # What is read again and again is bound to a variable, else each window would make it anew.
+    bound = F.transform(F.array(words), parts)
+    return F.element_at(F.transform(bound, lambda v: F.concat(*[of_size(v, size) for size in sizes])), 1)
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(window, form, size, item_id, item_at, windows): windows of the items, settled.
+    """(window, literal, form, size, item_id, item_at, windows): windows of the items, settled.
 
     Items shorter than a window are a window of their own. `windows` counts those of an item
     in a form.
     """
-    items = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), *[
+    items = benchmark.select(F.col(f"`{id_col}`").alias("item_id"), whole(text_col).alias("text"), *[
         template(whole(text_col), form).alias(form) for form in FORMS])
     items = settle(items.distinct(), "items")
     found = []
     for form in FORMS:
         for size in range(SHORTEST, WINDOW + 1):
             mine = items.filter(F.size(form) == size if size < WINDOW else F.size(form) >= WINDOW)
-            placed = mine.select("item_id", F.posexplode(_windows(F.col(form), size, True, form)).alias(
-                "item_at", "window"))
-            found.append(placed.filter(F.col("window").isNotNull()).withColumns(
-                {"form": F.lit(form), "size": F.lit(size)}))
+            placed = mine.select("item_id", F.explode(_windows(F.col("text"), F.col(form), [size], form, True)).alias("w"))
+            found.append(placed.select("item_id", F.col("w.at").alias("item_at"), "w.window", "w.literal",
+                                       F.lit(form).alias("form"), F.lit(size).alias("size")))
     every = found[0]
     for one in found[1:]:
         every = every.unionByName(one)
@@ -110,7 +138,7 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
 
 def matches(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, doc_at, item_id, form, size, item_at, windows) of all equal windows.
+    """(doc_id, doc_at, item_id, form, size, item_at, literal, windows) of all equal windows.
 
     The windows of the items are broadcast if they are counted and few, else both sides are
     shuffled by window; then all windows of the documents move.
@@ -119,12 +147,13 @@ def matches(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_co
     held = bounded(windows)
     found = None
     for form in FORMS:
-        words = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), template(whole(text_col), form).alias("words"))
-        for size in [s for f, s in kinds if f == form] or [WINDOW]:
-            placed = words.select("doc_id", F.posexplode(_windows(F.col("words"), size, False, form)).alias("doc_at", "window"))
-            one = placed.join(held.filter((F.col("form") == form) & (F.col("size") == size)), "window").select(
-                "doc_id", "doc_at", "item_id", "form", "size", "item_at", "windows")
-            found = one if found is None else found.unionByName(one)
+        sizes = [s for f, s in kinds if f == form] or [WINDOW]
+        words = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), whole(text_col).alias("text")).select(
+            "doc_id", F.explode(_windows(F.col("text"), template(F.col("text"), form), sizes, form, False)).alias("w"))
+        placed = words.select("doc_id", F.col("w.at").alias("doc_at"), "w.window")
+        one = placed.join(held.filter(F.col("form") == form), "window").select(
+            "doc_id", "doc_at", "item_id", "form", "size", "item_at", "literal", "windows")
+        found = one if found is None else found.unionByName(one)
     return found
 
 
@@ -166,45 +195,51 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     are not read.
     """
     windows = item_windows(benchmark, item_col, item_text)
-    found = settle(matches(docs, windows, id_col, text_col), "window-matches")
-    passages = found.withColumn("shift", F.col("doc_at") - F.col("item_at")).groupBy(
-        "doc_id", "item_id", "form", "shift").agg(
-        F.count_distinct("item_at").alias("n"), F.first("windows").alias("windows"),
-        F.min("item_at").alias("begin"), F.max(F.col("item_at") + F.col("size")).alias("end"))
+    found = matches(docs, windows, id_col, text_col).withColumn("shift", F.col("doc_at") - F.col("item_at"))
+    found = settle(found, "window-matches")
     items = settle(benchmark.select(
         F.col(f"`{item_col}`").alias("item_id"), F.explode(_slots(whole(item_text))).alias("slot"))
         .select("item_id", "slot.*").distinct(), "item-slots")
-    passages = settle(passages, "passages")
-    # Only passages with placeholders need the texts of their documents again.
-    placed = passages.join(items, ["item_id", "form"]).filter((F.col("at") >= F.col("begin")) & (F.col("at") < F.col("end"))).select(
-        "doc_id", "item_id", "form", "shift", "kind", F.col("value").alias("of_item"), (F.col("at") + F.col("shift")).alias("at"))
+    # Only documents with placeholders in such windows are read again.
+    inside = (F.col("at") >= F.col("item_at")) & (F.col("at") < F.col("item_at") + F.col("size"))
+    placed = found.filter("not literal").join(bounded(items), ["item_id", "form"]).filter(inside).select(
+        "doc_id", "item_id", "form", "shift", "kind", F.lower("value").alias("of_item"), F.col("at").alias("item_spot"),
+        (F.col("at") + F.col("shift")).alias("at")).distinct()
     placed = settle(placed, "placed-slots")
     wanted = settle(placed.select(F.col("doc_id").alias("_id")).distinct(), "slot-docs")
     read = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), whole(text_col).alias("text"))
     values = read.join(bounded(wanted), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(
         "doc_id", F.explode(_slots(F.col("text"))).alias("slot")).select(
-        F.col("doc_id").alias("_id"), F.col("slot.form").alias("_form"), F.col("slot.at").alias("_at"), F.col("slot.kind").alias("_kind"),
-        F.col("slot.value").alias("of_doc"))
+        F.col("doc_id").alias("_id"), F.col("slot.form").alias("_form"), F.col("slot.at").alias("_at"),
+        F.col("slot.kind").alias("_kind"), F.lower("slot.value").alias("of_doc"))
     paired = placed.join(values, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("at") == F.col("_at"))
                          & (F.col("form") == F.col("_form")) & (F.col("kind") == F.col("_kind")))
-    per_value = paired.groupBy("doc_id", "item_id", "form", "shift", "kind", "of_item").agg(
-        F.count_distinct("of_doc").alias("values"), F.count("*").alias("slots"),
-        F.count_if(F.lower("of_doc") != F.lower("of_item")).alias("changed"))
-    checked = per_value.groupBy("doc_id", "item_id", "form", "shift").agg(
-        F.max("values").alias("values"), F.sum("slots").alias("slots"), F.sum("changed").alias("changed"))
-    checked = checked.select(F.col("doc_id").alias("_id"), F.col("item_id").alias("_item"),
-                             F.col("form").alias("_form"), F.col("shift").alias("_shift"), "values", "slots", "changed")
-    consistent = passages.join(
-        checked, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("item_id") == F.col("_item"))
-        & (F.col("form") == F.col("_form")) & (F.col("shift") == F.col("_shift")), "left").filter(F.coalesce("values", F.lit(1)) == 1)
+    per_value = settle(paired.groupBy("doc_id", "item_id", "form", "shift", "kind", "of_item").agg(
+        F.count_distinct("of_doc").alias("values"), F.collect_set("item_spot").alias("spots"),
+        F.max(F.col("of_doc") != F.col("of_item")).alias("differs")), "values")
+    # Places of an item are few, so are those of them that are held against a passage.
+    broken = per_value.filter("values > 1").groupBy("doc_id", "item_id", "form", "shift").agg(
+        F.flatten(F.collect_list("spots")).alias("broken")).select(
+        F.col("doc_id").alias("_id"), F.col("item_id").alias("_item"), F.col("form").alias("_form"),
+        F.col("shift").alias("_shift"), "broken")
+    within = F.exists(F.coalesce("broken", F.array().cast("array<int>")), lambda at: (
+        (at >= F.col("item_at")) & (at < F.col("item_at") + F.col("size"))))
+    counted = found.join(
+        broken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("item_id") == F.col("_item"))
+        & (F.col("form") == F.col("_form")) & (F.col("shift") == F.col("_shift")), "left").filter(
+        F.col("literal") | ~within)
     # Words put in or left out move the diagonal: what an item has on several counts together.
-    per_form = consistent.groupBy("doc_id", "item_id", "form").agg(
-        F.least(F.sum("n"), F.first("windows")).alias("n_windows"), F.first("windows").alias("windows"),
-        F.coalesce(F.sum("slots"), F.lit(0)).alias("n_slots"),
-        F.coalesce(F.sum("changed"), F.lit(0)).alias("changed"))
+    per_form = counted.groupBy("doc_id", "item_id", "form").agg(
+        F.count_distinct("item_at").alias("n_windows"), F.first("windows").alias("windows"))
+    compared = per_value.filter("values = 1").groupBy("doc_id", "item_id", "form").agg(
+        F.sum(F.size("spots")).alias("slots"), F.sum(F.when(F.col("differs"), F.size("spots")).otherwise(0)).alias("changed")).select(
+        F.col("doc_id").alias("_id"), F.col("item_id").alias("_item"), F.col("form").alias("_form"), "slots", "changed")
+    per_form = per_form.join(compared, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("item_id") == F.col("_item"))
+                             & (F.col("form") == F.col("_form")), "left")
     share = F.col("n_windows") / F.col("windows")
     held = per_form.filter((share >= COVERAGE) | (F.col("n_windows") >= ENOUGH)).select(
-        "doc_id", "item_id", F.struct(share.alias("coverage"), "n_windows", "n_slots", "changed").alias("best"))
+        "doc_id", "item_id", F.struct(share.alias("coverage"), "n_windows", F.coalesce("slots", F.lit(0)).alias("n_slots"),
+                                      F.coalesce("changed", F.lit(0)).alias("changed")).alias("best"))
     return held.groupBy("doc_id", "item_id").agg(F.max("best").alias("best")).select(
         "doc_id", "item_id", "best.n_windows", "best.coverage", "best.n_slots", "best.changed")
 

@@ -188,6 +188,22 @@ def test_leaks_in_any_case_and_wrapping(spark):
     assert len(found) == 18 and set(found.values()) == {1.0}
 
 
+def test_leaks_of_short_items_of_many_numbers_and_of_long_edited_passages(spark):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(198)]
+    long = " ".join(words[:50] + ["12"] + words[50:120] + ["12"] + words[120:])
+    items = [(1, "Compute 3 + 4 * 5 - 6 / 2 + 7"), (2, "Name the Prime Minister Of Great Britain"), (3, long)]
+    rows = [(1, "Before. Compute 3 + 4 * 5 - 6 / 2 + 7. After."), (2, "Compute 3 + 4 * 5 - 6 / 2 + 8"),
+            (3, "and, name the Prime Minister Of Great Britain or not"), (4, "NAME THE PRIME MINISTER OF GREAT BRITAIN"),
+            (5, long.replace("12", "13", 1)), (6, long.replace("12", "13")), (7, "Name the Prime Minister"),
+            (8, "1 Compute 3 + 4 * 5 - 6 / 2 + 7 8 9")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontam.leaks(docs(spark, [(d, t, "en") for d, t in rows]), bench).collect()}
+    assert set(found) == {(1, 1), (3, 2), (4, 2), (5, 3), (6, 3), (8, 1)}
+    assert found[6, 3].coverage == 1.0 and found[6, 3].changed == 2
+    # The windows that hold one of the two numbers do not count, the others do.
+    assert found[5, 3].n_windows == 193 - 16
+
+
 def test_urls(spark):
     texts = [None, "", "no scheme", "http://COM/", "https://www.Example.com/en/1?x", "ftp://a.example.com/en/1#x/y",
              "http://b.net/es/9/", "http://b.net/fr", "http://b.org/" + "a/" * 50, "x://y://z.com/q?://"]
