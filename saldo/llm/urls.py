@@ -1,7 +1,7 @@
 """URL filter: explicit rules first, then path templates judged by what the rules say of them.
 
 Paths of a host form a tree of templates. Segments that vary (numbers, hashes, and any
-position with many rare values) become wildcards. What rules or labels say of some pages
+rare values of a position with many) become wildcards. What rules or labels say of some pages
 is counted for their template; sibling branches that do not differ significantly are pooled,
 and a template is rejected if its smoothed share of allowed pages is below one half.
 """
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saldo.llm.common import ascii_lower
+from saldo.llm.common import ascii_lower, bounded
 from saldo.sources.scratch import settle
 
 
@@ -39,7 +39,7 @@ RULES = (
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: Templates keep this many segments; deeper ones become one `**`.
 DEPTH = 4
-#: A position with at least this many values, fewer than two pages each on average, is variable.
+#: Of a position with at least this many values, those with less than their even share of 1 / MANY_VALUES vary.
 MANY_VALUES = 20
 #: Strength of the prior, in pages, and the z below which two branches count as alike.
 PRIOR, ALIKE = 4.0, 1.96
@@ -63,10 +63,11 @@ def _longest(rules: Sequence[UrlRule]) -> list[UrlRule]:
 
 
 def by_rules(pages: DataFrame, rules: Sequence[UrlRule], id_col: str, url_col: str) -> DataFrame:
-    """(page_id, host, path, rule, ruled): the longest rule that fits, and its verdict."""
+    """(page_id, host, path, url_hash, rule, ruled): the longest rule that fits, and its verdict."""
     url = F.col(f"`{url_col}`").cast("string")
     read = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("page_id"),
-                        host_of(url).alias("host"), path_of(url).alias("path"))
+                        host_of(url).alias("host"), path_of(url).alias("path"),
+                        F.xxhash64(F.coalesce(url, F.lit(""))).alias("url_hash"))
     none = F.lit(None).cast("string")
     ordered = _longest(rules)
     name = F.coalesce(*[F.when(_fits(r), F.lit(r.name)) for r in ordered], none)
@@ -87,30 +88,36 @@ def typed_segments(path: Column) -> Column:
 
 
 def path_counts(ruled: DataFrame) -> DataFrame:
-    """(host, typed, n, labelled, allowed) for each typed path of a host, settled."""
-    typed = ruled.select("host", typed_segments(F.col("path")).alias("typed"), "ruled")
+    """(host, typed, n, labelled, allowed) for each typed path of a host, settled.
+
+    A url that is listed again counts once, so repeated rows change no verdict.
+    """
+    typed = ruled.select("host", typed_segments(F.col("path")).alias("typed"), "url_hash", "ruled").distinct()
     return settle(typed.groupBy("host", "typed").agg(
         F.count("*").alias("n"), F.count("ruled").alias("labelled"),
         F.count_if(F.col("ruled") == "allow").alias("allowed")), "typed-paths")
 
 
 def generalised(paths: DataFrame) -> DataFrame:
-    """Adds `template`: position by position, the values of a variable position become `*`.
+    """Adds `template`: position by position, the rare ones of many values become `*`.
 
-    A position is that of all paths of the host with the same template before it.
+    A position is that of all paths of the host with the same template before it. It keeps
+    at most MANY_VALUES values besides `*`, however many pages each value has.
     """
     current = paths.withColumn("template", F.array().cast("array<string>"))
     for place in range(DEPTH + 1):
-        segment = F.get("typed", F.lit(place))
-        here = current.withColumn("segment", segment)
+        here = current.withColumn("segment", F.get("typed", F.lit(place)))
         values = here.filter("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("n"))
-        variable = values.groupBy("host", "template").agg(
-            ((F.count("*") >= MANY_VALUES) & (F.sum("n") < 2 * F.count("*"))).alias("variable"))
-        joined = here.join(variable, ["host", "template"], "left")
+        values = settle(values, "path-values")
+        many = settle(values.groupBy("host", "template").agg(
+            F.count("*").alias("values"), F.sum("n").alias("total")).filter(F.col("values") >= MANY_VALUES), "many-values")
+        rare = settle(values.join(bounded(many), ["host", "template"]).filter(
+            F.col("n") * MANY_VALUES < F.col("total")).select("host", "template", "segment", F.lit(True).alias("rare")), "rare-values")
+        joined = here.join(bounded(rare), ["host", "template", "segment"], "left")
         step = F.when(F.col("segment").isNull(), F.col("template")).when(
-            F.col("variable"), F.concat("template", F.array(F.lit("*")))
+            F.col("rare"), F.concat("template", F.array(F.lit("*")))
         ).otherwise(F.concat("template", F.array("segment")))
-        current = joined.withColumn("template", step).drop("segment", "variable")
+        current = settle(joined.withColumn("template", step).drop("segment", "rare"), "path-level")
     return current
 
 
@@ -154,7 +161,7 @@ def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, id_col: str = "pag
     """(page_id, host, path, rule, verdict, template, purity), one row for each row of `pages`.
 
     Null urls and urls without `://` have an empty host and path and are judged like others;
-    repeated rows are judged each. Without any label everything is allowed. No rows give no rows; other
+    repeated rows are judged each, but a url counts once. Without any label everything is allowed. No rows give no rows; other
     columns are not read. Only paths of a kind, not pages, enter the tree.
     """
     ruled = by_rules(pages, rules, id_col, url_col)

@@ -218,6 +218,20 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0)).count() == 0
 
 
+def test_url_templates_go_by_values_and_not_by_repeated_pages(spark):
+    names = [chr(97 + i % 26) * 3 + chr(97 + i // 26) for i in range(60)]
+    texts = [f"http://a.net/u/{n}/{p}" for n in names for p in ("posts", "likes", "about")]
+    texts += [f"http://b.net/{n}" for n in names] + [f"http://b.net/main/{n}" for n in names]
+    texts += [f"http://x.net/{lang}/page" for lang in ("es", "fr", "en")]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    once = {r.page_id: (r.verdict, r.template) for r in urls.judge(spark.createDataFrame(rows, "page_id bigint, url string")).collect()}
+    for i, t in rows[:180]:
+        assert once[i][1] == "/u/*/" + t.rsplit("/", 1)[1]
+    assert once[180][1] == "/*" and once[240][1] == "/main/*"
+    twice = urls.judge(spark.createDataFrame(rows + rows, "page_id bigint, url string")).collect()
+    assert len(twice) == 2 * len(rows) and all(once[r.page_id] == (r.verdict, r.template) for r in twice)
+
+
 def test_language(spark, table):
     found = queries.op1_language_id(spark, FOLDER).collect()
     true = {d: lang for d, _, lang in table}
