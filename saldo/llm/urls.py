@@ -37,8 +37,6 @@ RULES = (
 )
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-#: Templates keep this many segments; deeper ones become one `**`.
-DEPTH = 4
 #: Of a position with at least this many values, those with less than their even share of 1 / MANY_VALUES vary.
 MANY_VALUES = 20
 #: Strength of the prior, in pages, and the z below which two branches count as alike.
@@ -78,13 +76,11 @@ def by_rules(pages: DataFrame, rules: Sequence[UrlRule], id_col: str, url_col: s
 def typed_segments(path: Column) -> Column:
     """Segments of a path by kind: numbers, hashes, other values with digits, or as they are."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    kinds = F.transform(parts, lambda s: (
+    return F.transform(parts, lambda s: (
         F.when(s.rlike(r"^[0-9]+$"), "{n}")
         .when(s.rlike(r"^[0-9]+\.[a-z]+$"), F.concat(F.lit("{n}"), F.regexp_extract(s, r"(\.[a-z]+)$", 1)))
         .when(s.rlike(r"^[0-9a-fA-F-]{8,}$"), "{h}")
         .when(s.rlike(r"[0-9]"), "{v}").otherwise(s)))
-    deep = F.concat(F.slice(kinds, 1, DEPTH), F.array(F.lit("**")))
-    return F.when(F.size(kinds) > DEPTH, deep).otherwise(kinds)
 
 
 def path_counts(ruled: DataFrame) -> DataFrame:
@@ -102,23 +98,41 @@ def generalised(paths: DataFrame) -> DataFrame:
     """Adds `template`: position by position, the rare ones of many values become `*`.
 
     A position is that of all paths of the host with the same template before it. It keeps
-    at most MANY_VALUES values besides `*`, however many pages each value has.
+    at most MANY_VALUES values besides `*`, however many pages each value has. Level by level,
+    without a fixed depth: paths leave when they have ended, or when so few share their template
+    that no position after it can have many values; the rest of their segments stays.
     """
     current = paths.withColumn("template", F.array().cast("array<string>"))
-    for place in range(DEPTH + 1):
+    ended = []
+    place = 0
+    while True:
         here = current.withColumn("segment", F.get("typed", F.lit(place)))
-        values = here.filter("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("n"))
-        values = settle(values, "path-values")
-        many = settle(values.groupBy("host", "template").agg(
-            F.count("*").alias("values"), F.sum("n").alias("total")).filter(F.col("values") >= MANY_VALUES), "many-values")
-        rare = settle(values.join(bounded(many), ["host", "template"]).filter(
+        values = settle(here.filter("segment is not null").groupBy("host", "template", "segment").agg(
+            F.sum("n").alias("n"), F.count("*").alias("paths")), "path-values")
+        shared = settle(values.groupBy("host", "template").agg(
+            F.count("*").alias("values"), F.sum("n").alias("total"), F.sum("paths").alias("paths")).filter(
+            F.col("paths") >= MANY_VALUES), "shared-positions")
+        rest = F.concat("template", F.slice("typed", place + 1, F.greatest(F.size("typed") - place, F.lit(0))))
+        if shared.isEmpty():
+            ended.append(current.withColumn("template", rest))
+            break
+        rare = settle(values.join(bounded(shared.filter(F.col("values") >= MANY_VALUES)), ["host", "template"]).filter(
             F.col("n") * MANY_VALUES < F.col("total")).select("host", "template", "segment", F.lit(True).alias("rare")), "rare-values")
-        joined = here.join(bounded(rare), ["host", "template", "segment"], "left")
-        step = F.when(F.col("segment").isNull(), F.col("template")).when(
+        open_at = bounded(shared.select("host", "template", F.lit(True).alias("open")))
+        joined = here.join(open_at, ["host", "template"], "left").join(
+            bounded(rare), ["host", "template", "segment"], "left").withColumn(
+            "open", F.col("open").isNotNull() & F.col("segment").isNotNull())
+        step = F.when(~F.col("open"), rest).when(
             F.col("rare"), F.concat("template", F.array(F.lit("*")))
         ).otherwise(F.concat("template", F.array("segment")))
-        current = settle(joined.withColumn("template", step).drop("segment", "rare"), "path-level")
-    return current
+        level = settle(joined.withColumn("template", step).drop("segment", "rare"), "path-level")
+        ended.append(level.filter(~F.col("open")).drop("open").select(*paths.columns, "template"))
+        current = level.filter("open").drop("open").select(*paths.columns, "template")
+        place += 1
+    every = ended[0].select(*paths.columns, "template")
+    for one in ended[1:]:
+        every = every.unionByName(one)
+    return every
 
 
 def judged_templates(paths: DataFrame) -> DataFrame:

@@ -232,6 +232,20 @@ def test_url_templates_go_by_values_and_not_by_repeated_pages(spark):
     assert len(twice) == 2 * len(rows) and all(once[r.page_id] == (r.verdict, r.template) for r in twice)
 
 
+def test_url_templates_have_no_fixed_depth(spark):
+    texts = [f"http://a.org/shop/en/cat/item/{kind}/{chr(97 + i % 26)}{chr(97 + i // 26)}" for kind in ("reviews", "casino")
+             for i in range(40)] + ["http://a.org/" + "/".join("abcdefgh") + "/x", "http://a.org/shop"]
+    rules = [urls.UrlRule("block", "a.org", f"/shop/en/cat/item/casino/{c}") for c in "abcdefghijklm"]
+    rules += [urls.UrlRule("allow", "a.org", f"/shop/en/cat/item/reviews/{c}") for c in "abcdefghijklm"]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id bigint, url string")
+    found = {texts[r.page_id]: r for r in urls.judge(pages, rules).collect()}
+    for text in texts[:80]:
+        kind = text.split("/")[-2]
+        assert found[text].template == f"/shop/en/cat/item/{kind}/*"
+        assert found[text].verdict == ("block" if kind == "casino" else "allow")
+    assert found[texts[80]].template == "/a/b/c/d/e/f/g/h/x" and found[texts[81]].template == "/shop"
+
+
 def test_language(spark, table):
     found = queries.op1_language_id(spark, FOLDER).collect()
     true = {d: lang for d, _, lang in table}
