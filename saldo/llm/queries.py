@@ -27,7 +27,7 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_chat_rotation(spark: SparkSession, folder: str) -> DataFrame:
-    rotated = chat.rotate(_table(spark, folder, "conversations"))
+    rotated = chat.rotate_dialogues(_table(spark, folder, "conversations"))
     mask = F.array_join(F.transform("mask", lambda s: F.concat_ws(
         ":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return rotated.withColumn("mask", mask)

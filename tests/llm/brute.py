@@ -68,6 +68,18 @@ def verbatim(rows, items, window):
     return {(d, i) for d, t in rows for i, w in kept if 2 * len(w & windows(t)) >= len(w)}
 
 
+def rotated(turns, who):
+    """(rendering, mask) of the ordered (turn, speaker, text) of a dialogue."""
+    text, mask = "", []
+    for _, speaker, said in turns:
+        name = "system" if speaker == "system" else "assistant" if speaker == who else f"user name={speaker}"
+        text += f"<|im_start|>{name}\n"
+        begin = len(text)
+        text += f"{said}<|im_end|>\n"
+        mask += [(begin, len(text))] if speaker == who else []
+    return text, mask
+
+
 def ids_crc32(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 

@@ -272,6 +272,26 @@ def test_chat(spark):
     assert chat.rotate(turns.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("part_turns", [3, 64])
+def test_long_and_sparse_dialogues_are_rendered_whole(spark, part_turns):
+    rows = [(c, i * (7 if c == 2 else 1), "system" if i == 0 else ("ann" if i % 2 else "bob"), f"é{i}" * (i % 5))
+            for c, n in ((1, 200), (2, 12), (None, 90)) for i in range(n)]
+    rows += [(1, 100, "cy", "once"), (1, None, "ann", "first"), (2, 7, "ann", "é1"), (3, 0, "system", "alone")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = {}
+    for r in sorted(chat.rotate_dialogues(turns, part_turns).collect(), key=lambda r: r.part):
+        one = found.setdefault((r.conv_id, r.perspective), [[], "", [], 0])
+        one[0].append(r.part), one[2].extend(map(tuple, r.mask))
+        one[1] += r.rendered
+        one[3] += r.n_turns
+    assert set(found) == {(1, "ann"), (1, "bob"), (1, "cy"), (2, "ann"), (2, "bob"), (None, "ann"), (None, "bob")}
+    for (conv, who), (parts, rendered, mask, n) in found.items():
+        mine = sorted({r[1:] for r in rows if r[0] == conv}, key=lambda r: (r[0] is not None, r))
+        assert (rendered, mask) == brute.rotated(mine, who) and n == len(mine)
+        assert parts == list(range(-(-len(mine) // part_turns)))
+    assert chat.rotate_dialogues(turns.limit(0)).count() == 0
+
+
 def test_rollup_is_idempotent_and_signed(spark, tmp_path):
     state = spark.createDataFrame([("s", "en", "v", 5), ("s", None, "v", 7), (None, "en", "v", 1)],
                                   "source string, lang string, version string, tokens bigint")
