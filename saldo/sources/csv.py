@@ -1,9 +1,11 @@
 """CSV in and out."""
 
+import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +24,8 @@ _C1_FROM = "".join(chr(b) for b in _C1)
 _C1_TO = "".join(_C1.values())
 _C1_UNUSED = "[" + "".join(f"\\x{{{b:X}}}" for b in range(0x80, 0xA0) if b not in _C1) + "]"
 
+#: Holds the line of a row whose fields are not as many as those of the header.
+_MARKED = "_marked_line"
 _QUOTING = {"header": True, "quote": '"', "escape": '"'}
 
 
@@ -39,12 +43,8 @@ def _found(error: AnalysisException, path: str) -> Exception:
     return error
 
 
-def detect_form(spark: SparkSession, path: str) -> TextForm:
-    """First of utf-8, windows-1252, iso-8859-1 that decodes every line, in one pass.
-
-    An open quote at the end of a line means values that span lines. Those files cannot be
-    split; others are.
-    """
+def _detected(spark: SparkSession, path: str, *by: str) -> DataFrame:
+    """What tells the form: of all lines, or of those of each file."""
     try:
         lines = spark.read.text(path)
     except AnalysisException as error:
@@ -52,11 +52,14 @@ def detect_form(spark: SparkSession, path: str) -> TextForm:
     value = F.col("value")
     as_latin = F.decode(value.cast("binary"), "ISO-8859-1")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    seen = lines.agg(
+    return lines.select("value", F.col("_metadata.file_path").alias("file")).groupBy(*by).agg(
         F.bool_and(F.is_valid_utf8(value)).alias("utf8"),
         F.bool_or(as_latin.rlike(_C1_UNUSED)).alias("unused"),
         F.bool_or(quotes % 2 == 1).alias("open_quote"),
-    ).first()
+    )
+
+
+def _form(seen: Row) -> TextForm:
     if seen.utf8 is None or seen.utf8:
         encoding = "utf-8"
     else:
@@ -64,41 +67,84 @@ def detect_form(spark: SparkSession, path: str) -> TextForm:
     return TextForm(encoding, bool(seen.open_quote))
 
 
+def detect_form(spark: SparkSession, path: str) -> TextForm:
+    """First of utf-8, windows-1252, iso-8859-1 that decodes every line, in one pass.
+
+    An open quote at the end of a line means values that span lines. Those files cannot be
+    split; others are.
+    """
+    return _form(_detected(spark, path).first())
+
+
+def detect_forms(spark: SparkSession, path: str) -> dict[TextForm, list[str]]:
+    """The files of each form, as `detect_form` finds it file by file; files without lines are in none."""
+    found: dict[TextForm, list[str]] = {}
+    for seen in _detected(spark, path, "file").collect():
+        found.setdefault(_form(seen), []).append(unquote(seen.file))
+    return found
+
+
 def _from_latin(text: Column) -> Column:
     """windows-1252 text that was decoded as iso-8859-1: only 0x80 to 0x9F differ."""
     return F.translate(text, _C1_FROM, _C1_TO)
 
 
-def read_raw_csv(spark: SparkSession, path: str, form: TextForm | None = None) -> DataFrame:
-    """Every column as text, missing texts as NULL, each row with its place in the source.
+def _too_long(line: Column, fields: int) -> Column:
+    """Whether a line has more fields than the header: commas outside of quoted values."""
+    bare = F.regexp_replace(line, r'"(?:[^"]|"")*"', "")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= fields
 
-    Give `form` to save the detection pass.
-    """
-    form = form or detect_form(spark, path)
+
+def _read_form(spark: SparkSession, files: list[str], form: TextForm) -> DataFrame:
+    """Rows of files of one form; a row of more fields than the header is an error when it is read."""
     latin = form.encoding != "utf-8"
+    # Without column pruning, else a row's fields are not counted where few columns are asked for.
+    reader = spark.read.options(**_QUOTING, multiLine=form.multi_line, enforceSchema=False, columnPruning=False).option(
+        "encoding", "ISO-8859-1" if latin else "UTF-8")
     try:
-        raw = (
-            spark.read.options(**_QUOTING, multiLine=form.multi_line, enforceSchema=False)
-            .option("encoding", "ISO-8859-1" if latin else "UTF-8")
-            .csv(path)
-        )
+        names = reader.csv(files)
+        check_headers(names)
+        # Rows with fewer fields are marked too; they stay, filled with NULL.
+        marked = T.StructType([*names.schema.fields, T.StructField(_MARKED, T.StringType())])
+        raw = reader.schema(marked).option("columnNameOfCorruptRecord", _MARKED).csv(files)
     except AnalysisException as error:
-        raise _found(error, path) from error
-    check_headers(raw)
+        raise _found(error, files[0]) from error
+    line = F.col(_MARKED)
+    # Spark reads the marked line only along with another column.
+    first = F.coalesce(raw[f"`{names.columns[0]}`"], F.lit(""))
+    refused = F.raise_error(F.concat(F.lit(f"more than {len(names.columns)} fields in row "), first, F.lit(": "), line))
+    raw = raw.filter(F.when(_too_long(line, len(names.columns)), refused.cast("boolean")).otherwise(True))
 
     def value(name: str) -> Column:
         text = raw[f"`{name}`"]
         return missing_to_null(_from_latin(text) if form.encoding == "windows-1252" else text)
 
-    file, block, row = POSITION
+    file, block, _ = POSITION
     return raw.select(
-        *[value(c).alias(c) for c in raw.columns],
+        *[value(c).alias(c) for c in names.columns],
         F.col("_metadata.file_path").alias(file),
         F.col("_metadata.file_block_start").alias(block),
-        F.monotonically_increasing_id().alias(row),
     )
 
 
+def read_raw_csv(spark: SparkSession, path: str, form: TextForm | None = None) -> DataFrame:
+    """Every column as text, missing texts as NULL, each row with its place in the source.
+
+    Each file is read by its own form. Give `form` to save the detection pass.
+    """
+    forms = {form: [path]} if form else detect_forms(spark, path)
+    if len(forms) < 2:
+        forms = {next(iter(forms), TextForm("utf-8", False)): [path]}
+    else:
+        # Names are taken as they are, not as patterns.
+        forms = {f: [re.sub(r"([\\{}\[\]*?])", r"\\\1", name) for name in names] for f, names in forms.items()}
+    read = [_read_form(spark, files, f) for f, files in forms.items()]
+    every = read[0]
+    for one in read[1:]:
+        every = every.unionByName(one)
+    return every.withColumn(POSITION[2], F.monotonically_increasing_id())
+
+
 def write_csv(df: DataFrame, path: str, *, one_file: bool = False) -> None:
     """CSV with a header. `one_file` is for reports, whose rows are few."""
     out = df.coalesce(1) if one_file else df

@@ -95,6 +95,29 @@ def test_position_is_the_order_of_the_file(spark, tmp_path):
     assert values(df, "Row ID") == [str(i) for i in range(500)]
 
 
+def test_each_file_is_read_by_its_own_form(spark, tmp_path):
+    folder = tmp_path / "in +x %20"
+    folder.mkdir()
+    write(folder / "a.csv", [{"Customer": "São"}])
+    write(folder / "b c.csv", [{"Customer": "Zoë “x”"}], "cp1252")
+    write(folder / "d.csv", [{"Customer": "one\ntwo é"}])
+    df = csv.read_raw_csv(spark, str(tmp_path / "in*"))
+    assert sorted(values(df, "Customer")) == sorted(["São", "Zoë “x”", "one\ntwo é"])
+
+
+@pytest.mark.parametrize("end", [",more", ",", ',"a,b"'])
+def test_rows_of_more_fields_than_the_header_are_refused(spark, tmp_path, end):
+    path = write(tmp_path / "a.csv", [{"Customer": 'a, "b"'}])
+    lines = (tmp_path / "a.csv").read_text().splitlines()
+    short = ",".join(lines[1].split(",")[:2])
+    (tmp_path / "a.csv").write_text("\n".join([*lines, short]) + "\n")
+    assert csv.read_raw_csv(spark, path).count() == 2
+    (tmp_path / "a.csv").write_text("\n".join([*lines, lines[1] + end]) + "\n")
+    for df in (csv.read_raw_csv(spark, path), csv.read_raw_csv(spark, path).select("Sales")):
+        with pytest.raises(Exception, match="more than [0-9]+ fields"):
+            df.collect()
+
+
 def test_type_check(spark):
     df = spark.createDataFrame([("x",)], "order_date string")
     with pytest.raises(TypeError, match="order_date should be date, is string"):
