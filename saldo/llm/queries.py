@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldo.llm import (chat, counts, decontam, exactdup, idfiles, language, neardup, packing,
-                       secret_scan, urls)
+from saldo.llm import (chat, collocations, counts, decontam, exactdup, idfiles, language, licenses, neardup,
+                       packing, secret_scan, urls, vectorcodes)
 from saldo.sources.scratch import new_folder, settle
 
 
@@ -88,9 +88,25 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exactdup.classes(_table(spark, folder, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = vectorcodes.compress(_table(spark, folder, "embeddings"))
+    return vectorcodes.label_errors(settle(coded, "coded")).select(
+        "vec_id", vectorcodes.hex_code(F.col("codes")).alias("code"), "error", "label_error",
+        F.lit(books.sha256).alias("codebooks_sha256"))
+
+
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digest(licenses.scan(_table(spark, folder, "documents")))
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_chat_rotation, op3_token_rollup, op4_packing, op5_secret_scan,
-    op6_minhash_near_dedup, op7_token_files, op8_decontamination, op9_url_filter, op10_exact_dedup)}
+    op6_minhash_near_dedup, op7_token_files, op8_decontamination, op9_url_filter, op10_exact_dedup,
+    op11_vector_codes, op12_license_scan, op13_collocations)}
 
 _EXACT_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
@@ -148,5 +164,61 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN per_doc USING (doc_id)
 """
 
+_NEAREST = """SELECT vec_id, p, min_by(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT vec_id, x.p, e, list_sum(list_transform(list_zip(x.x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts x JOIN {books} b ON x.p = b.p) GROUP BY vec_id, p"""
+
+_MEANS = """SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM {books} b LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY i) AS c FROM (
+        SELECT a.p, a.e, i, CAST(floor(sum(x.x[i]) / count(*)) AS BIGINT) AS mean
+        FROM {assigned} a JOIN parts x USING (vec_id, p) CROSS JOIN range(1, 5) r(i) GROUP BY ALL) GROUP BY p, e
+    ) m ON m.p = b.p AND m.e = b.e"""
+
+_CODES_SQL = f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, p, v[p * 4 + 1 : p * 4 + 4] AS x FROM kept CROSS JOIN range(16) r(p)),
+c0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts
+       WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
+a1 AS MATERIALIZED ({_NEAREST.format(books="c0")}), c1 AS MATERIALIZED ({_MEANS.format(books="c0", assigned="a1")}),
+a2 AS MATERIALIZED ({_NEAREST.format(books="c1")}), c2 AS MATERIALIZED ({_MEANS.format(books="c1", assigned="a2")}),
+a3 AS MATERIALIZED ({_NEAREST.format(books="c2")}),
+coded AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a3 GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM c2) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+_PHRASES_SQL = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f AS MATERIALIZED (
+    SELECT lang, size, phrase, count(*) AS f FROM (
+        SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase
+        FROM pieces CROSS JOIN range(1, 4) r(size)) GROUP BY ALL),
+words AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+split AS MATERIALIZED (
+    SELECT lang, phrase, size, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 :], ' ') AS tail
+    FROM candidates CROSS JOIN range(1, 3) k(k) WHERE k < size),
+cuts AS (
+    SELECT s.lang, s.phrase, s.size, a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+    FROM split s JOIN f x ON x.lang = s.lang AND x.phrase = s.head JOIN f y ON y.lang = s.lang AND y.phrase = s.tail),
+scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+    SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(a) AS longer
+    FROM candidates CROSS JOIN range(1, 3) r(i) WHERE size = 3 GROUP BY ALL),
+ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+    FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+    WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN words USING (lang) WHERE rank <= 2000
+"""
+
 #: DuckDB SQL of the whole result: all pairs for near copies, every pattern on every text for secrets.
-ORACLE_SQL = {"op5_secret_scan": _SECRETS_SQL, "op6_minhash_near_dedup": _NEAR_SQL, "op10_exact_dedup": _EXACT_SQL}
+ORACLE_SQL = {"op5_secret_scan": _SECRETS_SQL, "op6_minhash_near_dedup": _NEAR_SQL, "op10_exact_dedup": _EXACT_SQL,
+              "op11_vector_codes": _CODES_SQL, "op13_collocations": _PHRASES_SQL}
