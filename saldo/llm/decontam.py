@@ -23,8 +23,9 @@ SHORTEST, MOST_SLOTS = 5, 4
 COVERAGE, ENOUGH = 0.5, 13
 
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
-_NAMES = r"([\p{Ll},;]\s+)(\p{Lu}\p{L}*(?:\s+\p{Lu}\p{L}*)*)"
-_NUMBERS = r"\p{Nd}+(?:[.,:/]\p{Nd}+)*"
+# The repeats are possessive: others hold a stack frame each, and long runs overflow it.
+_NAMES = r"([\p{Ll},;]\s+)(\p{Lu}\p{L}*+(?:\s++\p{Lu}\p{L}*+)*+)"
+_NUMBERS = r"\p{Nd}++(?:[.,:/]\p{Nd}++)*+"
 # Units that count as such after a number.
 _UNITS = ("(?<=\u0002\\s{1,2})(?:km|cm|mm|m|kg|mg|g|t|lb|lbs|oz|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|"
           "weeks?|months?|years?|miles?|feet|ft|inch(?:es)?|meters?|metres?|grams?|litres?|liters?|"

@@ -248,3 +248,12 @@ def test_new_queries_equal_sql(spark, name):
     for table in ("documents", "embeddings"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '/root/testdata/sf0.01/{table}.parquet'")
     assert mismatch(queries.QUERIES[name](spark, "/root/testdata/sf0.01"), db, queries.ORACLE_SQL[name]) is None
+
+
+def test_leaks_in_long_runs_of_names_and_numbers(spark):
+    from saldo.llm import decontam
+    item = "what is the distance from Rome to Paris in 30 km of road today"
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    rows = [(1, "a, " + "Word Big " * 20_000 + item), (2, "1.1." * 300_000 + " " + item), (3, "x, " + "A" * 500_000), (4, "a" + " " * 300_000 + "B")]
+    found = decontam.leaks(docs(spark, [(i, t, "en") for i, t in rows]), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 1)]
