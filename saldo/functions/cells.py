@@ -15,8 +15,8 @@ DATE_FORMATS = ("M/d/yyyy", "yyyy-MM-dd", "yyyy/MM/dd")
 
 #: Numbers as read: their rounding to what a table holds comes later, once.
 NUMBER = "decimal(28,10)"
-#: Stands for numbers too large for NUMBER, which no table accepts either.
-TOO_LARGE = "9" * 18
+
+_TIME_OF_DAY = r"[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9:]+)?$"
 
 
 def missing_to_null(text: Column) -> Column:
@@ -24,14 +24,14 @@ def missing_to_null(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Number in a text, NULL only where there is none.
+    """Number in a text; NULL where there is none, and where it is beyond NUMBER (see `beyond`)."""
+    return text.try_cast(NUMBER)
+
 
-    A number beyond the type becomes the largest or smallest of its digits: the row counts as
-    complete, and the rules of the sales table refuse it.
-    """
-    number = text.try_cast("double")
-    beyond = F.when(number > 0, F.lit(TOO_LARGE)).when(number < 0, F.lit("-" + TOO_LARGE))
-    return F.coalesce(text.try_cast(NUMBER), beyond.cast(NUMBER))
+def beyond(text: Column, value: Column) -> Column:
+    """The text where it is a number that `value`, its typed form, does not hold; NULL elsewhere."""
+    none = F.isnan(F.coalesce(text.try_cast("double"), F.lit(float("nan"))))
+    return F.when(value.isNull() & ~none, strip(text))
 
 
 def to_whole(text: Column) -> Column:
@@ -54,10 +54,18 @@ def _parse(text: Column, form: str) -> Column:
     return F.when(text.rlike(_shape(form)), parsed) if form.isascii() and "MMM" not in form else parsed
 
 
+def without_time(text: Column) -> Column:
+    return F.regexp_replace(text, _TIME_OF_DAY, "")
+
+
+def day_of(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """Date in a text without a time of day, by the first format that fits; NULL where none does."""
+    return F.coalesce(*[_parse(text, f) for f in formats])
+
+
 def to_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date by the first format that fits, NULL where none does; a time of day is left out."""
-    day = F.regexp_replace(text, r"[ T][0-9]{1,2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9:]+)?$", "")
-    return F.coalesce(*[_parse(day, f) for f in formats])
+    return day_of(without_time(text), formats)
 
 
 def strip(text: Column) -> Column:

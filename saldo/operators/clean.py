@@ -13,11 +13,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldo.functions import cells
+from saldo.functions.barrier import once
 from saldo.schema import CLEAN, HEADERS, REQUIRED_AFTER_COERCION, STRIPPED
 
 # Where a row stood in its source; readers that know it add these columns.
 POSITION = ("_source_file", "_source_block", "_source_row")
 
+#: Texts of the numbers of a row that their columns do not hold, a field each; NULL where there is none.
+OVERFLOW = "_overflow"
+NUMBERS = ("sales", "profit", "quantity", "discount")
+MARKED = (*NUMBERS, "row_id", "date_key")
+
 
 def check_headers(raw: DataFrame) -> DataFrame:
     absent = sorted(set(HEADERS) - set(raw.columns))
@@ -30,24 +36,42 @@ def rename_headers(raw: DataFrame) -> DataFrame:
     return raw.withColumnsRenamed(HEADERS)
 
 
+def mark_of(column: str) -> Column:
+    """The text that OVERFLOW holds of a column, NULL if none."""
+    return F.col(OVERFLOW)[column]
+
+
+def marks(df: DataFrame, texts: dict[str, Column]) -> Column:
+    """OVERFLOW with these texts besides those that `df` has of other columns."""
+    before = OVERFLOW in df.columns
+    texts = {c: texts[c] if c in texts else mark_of(c) if before else F.lit(None).cast("string") for c in MARKED}
+    return F.when(F.coalesce(*texts.values()).isNotNull(), F.struct(*[t.alias(c) for c, t in texts.items()]))
+
+
 def coerce_numbers(df: DataFrame) -> DataFrame:
-    """sales, profit, quantity: NULL where not a number; discount: 0 there."""
-    return df.withColumns({
-        "sales": cells.to_number(F.col("sales")),
-        "profit": cells.to_number(F.col("profit")),
-        "quantity": cells.to_number(F.col("quantity")),
-        "discount": F.coalesce(cells.to_number(F.col("discount")), F.lit(0).cast(cells.NUMBER)),
-    })
+    """sales, profit, quantity: NULL where not a number; discount: 0 there. OVERFLOW is added.
+
+    A number beyond the type is NULL too, with its text in OVERFLOW. Each text is parsed once.
+    """
+    parsed = once(df, {f"_{c}": cells.to_number(F.col(c)) for c in NUMBERS})
+    texts = once(parsed, {f"_text_{c}": cells.beyond(F.col(c), F.col(f"_{c}")) for c in NUMBERS})
+    beyond = once(texts, {OVERFLOW: marks(parsed, {c: F.col(f"_text_{c}") for c in NUMBERS})})
+    discount = F.when(F.col("_discount").isNull() & mark_of("discount").isNull(), 0).otherwise(F.col("_discount"))
+    return beyond.withColumns({
+        **{c: F.col(f"_{c}") for c in NUMBERS}, "discount": discount.cast(cells.NUMBER),
+    }).drop(*[f"{p}{c}" for c in NUMBERS for p in ("_", "_text_")])
 
 
 def coerce_dates(df: DataFrame, formats: Sequence[str] = cells.DATE_FORMATS) -> DataFrame:
-    return df.withColumn("order_date", cells.to_date(F.col("order_date"), formats))
+    """order_date as a date, NULL where none of the formats fits. Each text is parsed once."""
+    day = once(df, {"order_date": cells.without_time(F.col("order_date"))})
+    return once(day, {"order_date": cells.day_of(F.col("order_date"), formats)})
 
 
 def source_order(df: DataFrame) -> list[Column]:
     """Row order of the source if known, else the order of all values."""
-    known = [c for c in POSITION if c in df.columns]
-    return [F.col(c).asc_nulls_first() for c in known or df.columns]
+    known = [c for c in POSITION if c in df.columns] or [c for c in df.columns if c != OVERFLOW]
+    return [F.col(c).asc_nulls_first() for c in known]
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str] = ("row_id",),
@@ -62,8 +86,16 @@ def dedupe_first(df: DataFrame, keys: Sequence[str] = ("row_id",),
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
+def complete(df: DataFrame, required: Sequence[str] = REQUIRED_AFTER_COERCION) -> Column:
+    """Whether a row has all required values; a number that OVERFLOW holds is one."""
+    def there(c: str) -> Column:
+        known = F.col(c).isNotNull()
+        return known | mark_of(c).isNotNull() if c in NUMBERS and OVERFLOW in df.columns else known
+    return reduce(and_, map(there, required))
+
+
 def drop_incomplete(df: DataFrame, required: Sequence[str] = REQUIRED_AFTER_COERCION) -> DataFrame:
-    return df.na.drop(how="any", subset=list(required))
+    return df.filter(complete(df, required))
 
 
 def add_date_parts(df: DataFrame, date: str = "order_date") -> DataFrame:
@@ -81,12 +113,19 @@ def strip_texts(df: DataFrame, columns: Sequence[str] = STRIPPED) -> DataFrame:
 
 
 def apply_types(df: DataFrame) -> DataFrame:
-    """Final column types. What does not fit becomes NULL and is left to the quality rules."""
-    rounded = df.withColumn("quantity", F.round("quantity", 0)).withColumns(
-        {c: cells.to_whole(F.col(c)) for c in ("row_id", "date_key")})
-    typed = [rounded[f.name].try_cast(f.dataType).alias(f.name) for f in CLEAN.fields]
-    known = {f.name for f in CLEAN.fields} | set(POSITION) | {"_row_key"}
-    return rounded.select(*typed, *[c for c in df.columns if c not in known])
+    """Final column types. A number that does not fit its type is NULL, with its text in OVERFLOW."""
+    whole = {c: cells.to_whole(F.col(c)) for c in ("row_id", "date_key")}
+    types = {f.name: f.dataType for f in CLEAN.fields}
+    typed = {c: F.col(c).try_cast(t) for c, t in types.items()} | {
+        c: value.try_cast(types[c]) for c, value in whole.items()} | {
+        "quantity": F.round("quantity", 0).try_cast(types["quantity"])}
+    named = once(df, {f"_typed_{c}": typed[c] for c in (*whole, "quantity")})
+    beyond = {c: cells.beyond(F.col(c), F.col(f"_typed_{c}")) for c in whole}
+    beyond["quantity"] = F.coalesce(mark_of("quantity"), cells.beyond(F.col("quantity").cast("string"), F.col("_typed_quantity")))
+    final = [F.col(f"_typed_{c}").alias(c) if c in beyond else typed[c].alias(c) for c in types]
+    known = {*types, *POSITION, "_row_key", OVERFLOW}
+    others = [F.col(f"`{c}`") for c in df.columns if c not in known]
+    return named.select(*final, *others, marks(named, beyond).alias(OVERFLOW))
 
 
 def _with_row_key(df: DataFrame) -> DataFrame:
@@ -105,9 +144,13 @@ def coerce(raw: DataFrame, formats: Sequence[str] = cells.DATE_FORMATS) -> DataF
     )
 
 
-def clean(raw: DataFrame, formats: Sequence[str] = cells.DATE_FORMATS) -> DataFrame:
-    """Whole cleaning step over a raw frame with the 19 headers; other columns pass through."""
-    return (
+def clean(raw: DataFrame, formats: Sequence[str] = cells.DATE_FORMATS, *, overflow: bool = False) -> DataFrame:
+    """Whole cleaning step over a raw frame with the 19 headers; other columns pass through.
+
+    Numbers too large for their columns are NULL; with `overflow`, OVERFLOW names them and
+    holds their texts.
+    """
+    done = (
         coerce(raw, formats)
         .transform(dedupe_first, ("_row_key",))
         .transform(drop_incomplete)
@@ -115,6 +158,7 @@ def clean(raw: DataFrame, formats: Sequence[str] = cells.DATE_FORMATS) -> DataFr
         .transform(strip_texts)
         .transform(apply_types)
     )
+    return done if overflow else done.drop(OVERFLOW)
 
 
 def clean_counts(raw: DataFrame, formats: Sequence[str] = cells.DATE_FORMATS) -> DataFrame:
@@ -124,13 +168,12 @@ def clean_counts(raw: DataFrame, formats: Sequence[str] = cells.DATE_FORMATS) ->
     source position is known.
     """
     coerced = coerce(raw, formats)
-    complete = reduce(and_, [F.col(c).isNotNull() for c in REQUIRED_AFTER_COERCION])
-    position = [c for c in POSITION if c in raw.columns] or coerced.columns
+    position = [c for c in POSITION if c in raw.columns] or [c for c in coerced.columns if c != OVERFLOW]
     per_key = (
         coerced.select(
             "_row_key",
             F.col("order_date").isNull().cast("int").alias("bad_date"),
-            complete.cast("int").alias("complete"),
+            complete(coerced).cast("int").alias("complete"),
             F.struct(*position).alias("position"),
         )
         .groupBy("_row_key")

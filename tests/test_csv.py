@@ -118,6 +118,18 @@ def test_rows_of_more_fields_than_the_header_are_refused(spark, tmp_path, end):
             df.collect()
 
 
+@pytest.mark.parametrize("value", ['"' + "a, b " * 200_000 + '"', '"' + 'say ""x"", ' * 100_000 + '"', '"' + '""' * 500_000 + '"'])
+def test_long_quoted_values_in_short_and_long_rows(spark, tmp_path, value):
+    path = write(tmp_path / "a.csv", [{}])
+    lines = (tmp_path / "a.csv").read_text().splitlines()
+    (tmp_path / "a.csv").write_text("\n".join([*lines, f"5,{value}"]) + "\n")
+    df = csv.read_raw_csv(spark, path)
+    assert values(df, "Row ID") == ["1", "5"] and values(df, "Order ID")[1] == value[1:-1].replace('""', '"')
+    (tmp_path / "a.csv").write_text("\n".join([*lines, lines[1] + "," + value]) + "\n")
+    with pytest.raises(Exception, match="more than [0-9]+ fields"):
+        csv.read_raw_csv(spark, path).collect()
+
+
 def test_type_check(spark):
     df = spark.createDataFrame([("x",)], "order_date string")
     with pytest.raises(TypeError, match="order_date should be date, is string"):

@@ -110,7 +110,8 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 def test_without_a_named_folder_only_local_sessions_get_one(spark, monkeypatch):
     monkeypatch.setattr(scratch, "_SETTING", "spark.saldo.absent")
     assert shared_folder(spark) == shared_folder(spark)
-    fake = type("Cluster", (), {"conf": spark.conf, "sparkContext": type("C", (), {"master": "yarn"})})
+    fake = type("Cluster", (), {"conf": spark.conf, "sparkContext": type("C", (), {
+        "master": "yarn", "getCheckpointDir": staticmethod(lambda: None)})})
     with pytest.raises(ValueError, match="set spark.saldo.absent"):
         shared_folder(fake)
 
