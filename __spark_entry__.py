@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from saldo.functions import cells
 from saldo.operators import clean as cleaning
-from saldo.operators import quality, retention, revenue
+from saldo.operators import dates, quality, retention, revenue
 from saldo.plans import reports
 from saldo.schema import HEADERS
 from saldo.sources import csv, scratch, star, warehouse
@@ -129,6 +129,36 @@ def _date_parts(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.add_date_parts(dated)
 
 
+def _date_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """What the three dates of a line tell of their forms: month first, day first, year first."""
+    ship, commit, receipt = (F.date_add(F.col("l_shipdate").cast("date"), n) for n in (0, 10, 3))
+    lines = star.table(spark, folder, "lineitem").select(
+        F.when(F.col("l_suppkey") % 29 == 0, "bad").otherwise(F.date_format(ship, "M/d/yyyy")).alias("ship"),
+        F.concat(F.date_format(commit, "dd.MM.yyyy"), F.lit(" 08:30")).alias("commit"),
+        F.when(F.dayofmonth(receipt) <= 12, F.date_format(receipt, "d-M-yyyy")).otherwise(
+            F.date_format(receipt, "yyyy-MM-dd")).alias("receipt"))
+    every = None
+    for name in lines.columns:
+        one = dates.infer(lines, name).report(spark).withColumn("dates", F.lit(name))
+        every = one if every is None else every.unionByName(one)
+    return every
+
+
+def _overflow_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose numbers their columns do not hold, with the texts, after the whole cleaning step."""
+    raw = star.raw_from_star(spark, folder)
+    part_key = F.col("`Order ID`").cast("bigint") % 7
+    large = raw.withColumns({
+        "Sales": F.when(part_key == 1, "1e30").when(part_key == 2, "123456789012.5").otherwise(F.col("Sales")),
+        "Quantity": F.when(part_key == 3, "9999999999").otherwise(F.col("Quantity")),
+        "Date Key": F.when(part_key == 4, F.concat(F.col("`Date Key`"), F.lit("000"))).otherwise(F.col("`Date Key`")),
+    })
+    rejects = quality.rejected_rows(quality.to_table_types(cleaning.clean(large, overflow=True)), MARKET_SEGMENTS)
+    texts = [F.concat_ws("=", F.lit(c), cleaning.mark_of(c)) for c in cleaning.MARKED]
+    marked = [F.when(cleaning.mark_of(c).isNotNull(), t) for c, t in zip(cleaning.MARKED, texts)]
+    return rejects.select("row_id", F.array_join("violations", ",").alias("violations"), F.concat_ws(",", *marked).alias("texts"))
+
+
 # ---- quality ----------------------------------------------------------------
 
 
@@ -179,6 +209,8 @@ _QUERIES: dict[str, Query] = {
     "dedupe_first": _dedupe_first,
     "drop_nulls": _drop_nulls,
     "date_parts": _date_parts,
+    "date_forms": _date_forms,
+    "dq_overflow": _overflow_rejects,
     "dq_valid": _dq_valid,
     "dq_rejects": _dq_rejects,
     "dq_rule_counts": _dq_rule_counts,
@@ -423,6 +455,24 @@ SELECT l_orderkey * 10 + l_linenumber AS row_id,
 FROM lineitem)
 """
 
+def _shape_sql(name: str, shape: str, sep: str, digits: int, rows: str, days: str, day_place: str, form: str, ambiguous: str) -> str:
+    over = f"count(*) FILTER ({rows} AND {days} > 12)"
+    first, second = (over, "0") if day_place == "first" else ("0", over) if day_place == "second" else ("0", "0")
+    text = f"'{form}'" if form else "CAST(NULL AS VARCHAR)"
+    return f"""SELECT '{name}' AS dates, '{shape}' AS shape, '{sep}' AS separator, CAST({digits} AS INT) AS year_digits,
+  count(*) FILTER ({rows}) AS rows, CAST({first} AS BIGINT) AS first_over_12, CAST({second} AS BIGINT) AS second_over_12,
+  {text} AS format, {ambiguous} AS ambiguous, CAST(0 AS BIGINT) AS contrary FROM lineitem HAVING count(*) FILTER ({rows}) > 0"""
+
+
+_DATE_FORMS = " UNION ALL ".join([
+    _shape_sql("ship", "year last", "/", 4, "l_suppkey % 29 <> 0", "day(l_shipdate)", "second", "M/d/yyyy", "false"),
+    _shape_sql("ship", "other", "", 0, "l_suppkey % 29 = 0", "0", "", "", "false"),
+    _shape_sql("commit", "year last", ".", 4, "true", "day(l_shipdate + INTERVAL 10 DAY)", "first", "d.M.yyyy", "false"),
+    # Days up to twelve tell nothing, so the default order stands and is reported.
+    _shape_sql("receipt", "year last", "-", 4, "day(l_shipdate + INTERVAL 3 DAY) <= 12", "0", "", "M-d-yyyy", "true"),
+    _shape_sql("receipt", "year first", "-", 4, "day(l_shipdate + INTERVAL 3 DAY) > 12", "day(l_shipdate + INTERVAL 3 DAY)", "second", "yyyy-M-d", "false"),
+])
+
 _SUSPECTS = f"""WITH linhas AS (
 SELECT l_orderkey * 10 + l_linenumber AS row_id,
   CASE WHEN l_partkey % 101 = 0 THEN lpad(CAST(l_orderkey AS VARCHAR), 51, '0')
@@ -478,8 +528,33 @@ def _rule_counts_sql() -> str:
     return _SUSPECTS + " UNION ALL ".join(parts)
 
 
-_MATRIX = """PIVOT vendas ON year_month USING CAST(count(*) AS DOUBLE) GROUP BY customer_id"""
-
+# The months of the test tables; a PIVOT cannot stand in a view.
+_MATRIX = "SELECT customer_id, " + ", ".join(
+    f"""CAST(coalesce(sum(CASE WHEN year_month = '{y}-{m:02d}' THEN 1 END), 0) AS DOUBLE) AS "{y}-{m:02d}\""""
+    for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8)) + " FROM vendas GROUP BY customer_id"
+
+
+# Order ids are the same in all lines of an order, so the first copy of a row id has the same case as the others.
+_OVERFLOW = f"""WITH bruto AS (SELECT {_RAW_TEXTS.format(none="'None'", na="'n/a'")}, l_orderkey % 7 AS k {_JOINED}),
+grande AS (SELECT * REPLACE (
+  CASE WHEN k = 1 THEN '1e30' WHEN k = 2 THEN '123456789012.5' ELSE sales END AS sales,
+  CASE WHEN k = 3 THEN '9999999999' ELSE quantity END AS quantity,
+  CASE WHEN k = 4 THEN date_key || '000' ELSE date_key END AS date_key) FROM bruto),
+convertido AS (SELECT * REPLACE (
+  CASE WHEN k = 1 THEN NULL ELSE TRY_CAST(sales AS DECIMAL(18,4)) END AS sales, TRY_CAST(profit AS DECIMAL(18,4)) AS profit,
+  TRY_CAST(quantity AS DECIMAL(18,4)) AS quantity, coalesce(TRY_CAST(discount AS DECIMAL(18,4)), 0) AS discount,
+  CAST(try_strptime(order_date, '%m/%d/%Y') AS DATE) AS order_date), row_id AS _row_key FROM grande),
+primeiro AS (SELECT * FROM convertido QUALIFY row_number() OVER (PARTITION BY _row_key ORDER BY {_ORDER}) = 1),
+completo AS (SELECT * FROM primeiro WHERE (sales IS NOT NULL OR k = 1) AND customer_id IS NOT NULL
+  AND order_date IS NOT NULL AND quantity IS NOT NULL AND profit IS NOT NULL),
+marcado AS (SELECT CAST(row_id AS BIGINT) AS row_id,
+  CASE WHEN k IN (1, 2) THEN 'sales_fits' END AS v1, CASE WHEN k = 3 THEN 'quantity_fits' END AS v2,
+  CASE WHEN k = 4 THEN 'date_key_fits' END AS v3, CASE WHEN k NOT IN (1, 2) AND sales < 0 THEN 'sales_not_negative' END AS v4,
+  CASE WHEN k = 1 THEN 'sales=1e30' WHEN k = 2 THEN 'sales=123456789012.5000000000' WHEN k = 3 THEN 'quantity=9999999999.0000000000'
+       WHEN k = 4 THEN 'date_key=' || date_key ELSE '' END AS texts,
+  CASE WHEN discount > 1 THEN 'discount_0_to_1' END AS v5 FROM completo)
+SELECT row_id, concat_ws(',', v1, v2, v3, v4, v5) AS violations, texts FROM marcado
+WHERE concat_ws(',', v1, v2, v3, v4, v5) <> ''"""
 
 _SQL_GROWTH = _int_ratio("mrr - antes", "antes", 2, 2, 100)
 
@@ -533,6 +608,8 @@ SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
   CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
   CAST(quarter(o_orderdate) AS INT) AS quarter, strftime(o_orderdate, '%Y-%m') AS year_month
 FROM orders""",
+        "date_forms": _DATE_FORMS,
+        "dq_overflow": _OVERFLOW,
         "dq_valid": f"{_SUSPECTS} SELECT {_CHECKED_SQL} FROM regras WHERE NOT ({broken})",
         "dq_rejects": f"""{_SUSPECTS} SELECT {_CHECKED_SQL}, concat_ws(',', {names}) AS violations
 FROM regras WHERE {broken}""",

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from saldo.operators.clean import MARKED, OVERFLOW, mark_of, marks
 from saldo.schema import NOT_NULL, SEGMENTS, TABLE, TEXT_LENGTHS
 from saldo.sources.scratch import settle
 
@@ -19,13 +20,28 @@ class QualityError(ValueError):
 
 
 def to_table_types(clean: DataFrame) -> DataFrame:
-    """Column types of the sales table: money is rounded to cents row by row."""
-    return clean.select(*[clean[f.name].try_cast(f.dataType).alias(f.name) for f in TABLE.fields])
+    """Column types of the sales table: money is rounded to cents row by row.
+
+    If the clean rows have OVERFLOW, numbers that the table does not hold are added to it.
+    """
+    typed = [clean[f.name].try_cast(f.dataType).alias(f.name) for f in TABLE.fields]
+    if OVERFLOW not in clean.columns:
+        return clean.select(*typed)
+    types = {f.name: f.dataType for f in TABLE.fields}
+    too_large = {c: F.coalesce(mark_of(c), F.when(
+        F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull(), F.col(c).cast("string"))) for c in MARKED}
+    return clean.select(*typed, marks(clean, too_large).alias(OVERFLOW))
 
 
-def row_rules(segments: Sequence[str] = SEGMENTS) -> dict[str, Column]:
-    """Rule name -> what must hold in every row."""
-    rules = {f"{c}_not_null": F.col(c).isNotNull() for c in NOT_NULL}
+def row_rules(segments: Sequence[str] = SEGMENTS, *, overflow: bool = False) -> dict[str, Column]:
+    """Rule name -> what must hold in every row.
+
+    With `overflow`, rows name the numbers that their columns do not hold: `<column>_fits` is
+    broken by them, not the rule against NULL.
+    """
+    fits = {c: mark_of(c).isNull() for c in MARKED} if overflow else {}
+    rules = {f"{c}_not_null": F.col(c).isNotNull() | ~fits[c] if c in fits else F.col(c).isNotNull() for c in NOT_NULL}
+    rules |= {f"{c}_fits": rule for c, rule in fits.items()}
     rules |= {
         "segment_known": F.col("segment").isin(*segments),
         "sales_not_negative": F.col("sales") >= 0,
@@ -61,7 +77,8 @@ def flag(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
     are settled before, so what is behind them is computed once.
     """
     typed = settle(typed, "typed-rows")
-    rules = [F.when(_broken(rule), F.lit(name)) for name, rule in row_rules(segments).items()]
+    rules = [F.when(_broken(rule), F.lit(name)) for name, rule in row_rules(
+        segments, overflow=OVERFLOW in typed.columns).items()]
     repeated = F.when(F.col("copies").isNotNull(), F.lit(UNIQUE_RULE))
     return (
         typed.join(settle(_repeated_keys(typed), "repeated-ids"), "row_id", "left")
@@ -90,7 +107,7 @@ def rule_counts(typed: DataFrame, segments: Sequence[str] = SEGMENTS, *, stored:
     """(regra, linhas): rows that break each rule, zero included. `stored` rows are not settled again."""
     if not stored:
         typed = settle(typed, "typed-rows")
-    rules = row_rules(segments)
+    rules = row_rules(segments, overflow=OVERFLOW in typed.columns)
     counts = typed.agg(*[F.count_if(_broken(rule)).alias(name) for name, rule in rules.items()])
     per_row = counts.unpivot([], list(rules), "regra", "linhas")
     per_key = _repeated_keys(typed).agg(
@@ -100,6 +117,16 @@ def rule_counts(typed: DataFrame, segments: Sequence[str] = SEGMENTS, *, stored:
     return per_row.unionByName(per_key)
 
 
+def require_fits(typed: DataFrame) -> None:
+    """Raises if a number is beyond its column; one pass over the marks, one row back."""
+    if OVERFLOW not in typed.columns:
+        return
+    seen = typed.agg(*[F.count(mark_of(c)).alias(c) for c in MARKED]).first().asDict()
+    broken = ", ".join(f"{c}_fits: {n}" for c, n in seen.items() if n)
+    if broken:
+        raise QualityError(f"numbers are beyond their columns ({broken})")
+
+
 def require_valid(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> None:
     """Raises if any row of a stored frame breaks a rule. Reads back one row per broken rule."""
     broken = rule_counts(typed, segments, stored=True).filter(F.col("linhas") > 0).collect()

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saldo.functions.cells import missing_to_null, month_key
-from saldo.operators.clean import POSITION, check_headers
+from saldo.functions.barrier import once
+from saldo.functions.cells import beyond, missing_to_null, month_key
+from saldo.operators.clean import MARKED, OVERFLOW, POSITION, check_headers, mark_of, marks
 from saldo.schema import CLEAN
 
 # What the bytes 0x80 to 0x9F mean in windows-1252, where they mean something.
@@ -157,17 +158,43 @@ def write_csv(df: DataFrame, path: str, *, one_file: bool = False) -> None:
     )
 
 
-def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Clean rows as written by `write_csv`: declared types, any bad value is an error."""
+def with_texts(clean: DataFrame) -> DataFrame:
+    """Clean rows as they are to be written: numbers beyond their columns as the texts they had."""
+    if OVERFLOW not in clean.columns:
+        return clean
+    return clean.withColumns({c: F.coalesce(mark_of(c), F.col(c).cast("string")) for c in MARKED}).drop(OVERFLOW)
+
+
+def read_clean_csv(spark: SparkSession, path: str, *, overflow: bool = False) -> DataFrame:
+    """Clean rows as written by `write_csv`: declared types, any bad value is an error.
+
+    A number beyond its column is an error too; with `overflow` it is NULL, and OVERFLOW holds
+    its text.
+    """
+    read = T.StructType([T.StructField(f.name, T.StringType()) if f.name in MARKED else f for f in CLEAN.fields])
     try:
-        df = spark.read.schema(CLEAN).options(**_QUOTING, mode="FAILFAST", enforceSchema=False).csv(path)
+        df = spark.read.schema(read).options(**_QUOTING, mode="FAILFAST", enforceSchema=False).csv(path)
     except AnalysisException as error:
         raise _found(error, path) from error
     require_type(df, "order_date", T.DateType())
-    texts = [f.name for f in CLEAN.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: missing_to_null(F.col(c)) for c in texts}).withColumn(
-        "year_month", month_key(F.col("order_date"))
-    )
+    texts = [f.name for f in read.fields if isinstance(f.dataType, T.StringType)]
+    df = df.withColumns({c: missing_to_null(F.col(c)) for c in texts})
+    types = {f.name: f.dataType for f in CLEAN.fields}
+    df = once(df, {f"_typed_{c}": F.col(c).try_cast(types[c]) for c in MARKED})
+
+    def value(c: str) -> Column:
+        typed = F.col(f"_typed_{c}")
+        good = typed.isNotNull() | F.col(c).isNull()
+        if overflow:
+            good = good | mark_of(c).isNotNull()
+        error = F.raise_error(F.concat(F.lit(f"{c} is no number of its type: "), F.col(c))).cast(types[c])
+        return F.when(good, typed).otherwise(error)
+
+    if overflow:
+        df = once(df, {f"_text_{c}": beyond(F.col(c), F.col(f"_typed_{c}")) for c in MARKED})
+        df = df.withColumn(OVERFLOW, marks(df, {c: F.col(f"_text_{c}") for c in MARKED}))
+    columns = [value(c).alias(c) if c in MARKED else F.col(c) for c in types]
+    return df.select(*columns, *([OVERFLOW] if overflow else [])).withColumn("year_month", month_key(F.col("order_date")))
 
 
 def require_type(df: DataFrame, column: str, expected: T.DataType) -> None:

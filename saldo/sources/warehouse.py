@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from saldo.operators import quality
+from saldo.operators.clean import OVERFLOW
 from saldo.operators.revenue import monthly_revenue
 from saldo.schema import SEGMENTS
 from saldo.sources.scratch import folders_in, remove
@@ -20,15 +21,18 @@ def load_table(clean: DataFrame, name: str = SALES_TABLE, folder: str | None = N
     """Writes a new version of the sales table, checks it, then points the table to it.
 
     The rows are computed once, by the write; the rules read the written columns. A broken
-    rule or a failed write leaves the table on its old version and removes the new one.
+    rule or a failed write leaves the table on its old version and removes the new one. Clean rows
+    that name numbers beyond their columns are refused before anything is written.
     Versions lie in `folder`, by default beside the tables of the warehouse, and in nothing
     else but a folder of their own; `former` of them stay for queries that still read them.
     """
     spark = clean.sparkSession
     root = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-versions"
     version = f"{root}/{_VERSION}{uuid.uuid4().hex}"
+    typed = quality.to_table_types(clean)
+    quality.require_fits(typed)
     try:
-        quality.to_table_types(clean).write.parquet(version)
+        typed.drop(OVERFLOW).write.parquet(version)
         quality.require_valid(spark.read.parquet(version), segments)
         point_table(spark, name, version)
     except Exception:
