@@ -21,22 +21,30 @@ _STATE = ("source", "lang", "version", "tokens")
 
 
 def counted(docs: DataFrame, tokenizer: str, version: str, id_col: str = "doc_id", text_col: str = "text",
-            source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, source, lang, version, tokens) of whole texts; a null text has no tokens."""
+            source_col: str = "source", lang_col: str = "lang", revised_col: str | None = None) -> DataFrame:
+    """(doc_id, source, lang, version, tokens) of whole texts, a row for each; a null text has no tokens.
+
+    With `revised_col`, a text that a row is to get, also `revised`: its tokens, NULL where the
+    row stays as it is. Both counts stand in one row, so revising needs no key: rows without id
+    and rows that repeat one are revised like others.
+    """
 
     def count(batches):
         for batch in batches:
             encode = encoder(tokenizer).encode
             n = [len(encode(t.as_py() or "")) // 4 for t in batch.column(3)]
+            again = [None if t.as_py() is None else len(encode(t.as_py())) // 4 for t in batch.column(4)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), pa.array(n, pa.int64())],
-                ["doc_id", "source", "lang", "tokens"])
+                [*(batch.column(i) for i in range(3)), pa.array(n, pa.int64()), pa.array(again, pa.int64())],
+                ["doc_id", "source", "lang", "tokens", "revised"])
 
+    revised = F.col(f"`{revised_col}`") if revised_col else F.lit(None)
     read = importable(docs).select(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
-        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = read.mapInArrow(count, "doc_id bigint, source string, lang string, tokens bigint")
-    return out.select("doc_id", "source", "lang", F.lit(version).alias("version"), "tokens")
+        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"),
+        revised.cast("string").alias("revised"))
+    out = read.mapInArrow(count, "doc_id bigint, source string, lang string, tokens bigint, revised bigint")
+    return out.select("doc_id", "source", "lang", F.lit(version).alias("version"), "tokens", *(["revised"] if revised_col else []))
 
 
 def _image(sign: int, prefix: str):

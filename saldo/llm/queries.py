@@ -35,18 +35,20 @@ def op2_chat_rotation(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Three batches: all documents; those with repeated lines counted anew without them; and
-    those that labels call toxic deleted. The first batch is then given once more."""
+    those that labels call toxic deleted. The first batch is then given once more.
+
+    Every row counts, also without an id or with a repeated one; a label holds for all rows of
+    its id, and none for rows without id."""
     version = "byte_bpe_50k"
     path = tokenizer_path(f"{version}.json")
     docs = _table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     toxic = _table(spark, folder, "labels").filter("toxic = 1").select("doc_id").distinct()
-    state = settle(counts.counted(docs, path, version), "counted")
     lines = F.split("text", "\n")
-    fewer = docs.filter(F.size(F.array_distinct(lines)) < F.size(lines)).withColumn(
-        "text", F.array_join(F.array_distinct(lines), "\n"))
-    after = settle(counts.counted(fewer, path, version), "recounted")
-    before = state.join(after.select("doc_id"), "doc_id", "left_semi")
-    latest = state.join(after.select("doc_id"), "doc_id", "left_anti").unionByName(after)
+    fewer = F.when(F.size(F.array_distinct(lines)) < F.size(lines), F.array_join(F.array_distinct(lines), "\n"))
+    state = settle(counts.counted(docs.withColumn("fewer", fewer), path, version, revised_col="fewer"), "counted")
+    before = state.filter("revised IS NOT NULL")
+    after = before.withColumn("tokens", F.col("revised"))
+    latest = state.withColumn("tokens", F.coalesce("revised", "tokens"))
     ledger = new_folder(spark, "token-ledger")
     counts.commit(counts.inserts(state), ledger, "load")
     counts.commit(counts.revisions(before, after), ledger, "repeated-lines")
