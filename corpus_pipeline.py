@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldo.llm import decontam, exactdup, language, neardup, packing
+from saldo.llm.common import fresh
 from saldo.llm.queries import tokenizer_path
 from saldo.sources.scratch import settle
 
@@ -16,9 +17,10 @@ LEAST_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents with a language; those without letters, or without one ahead of all others, go."""
-    found = language.predict(docs, language.fit(docs))
-    clear = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return found.filter(clear).select(*[F.col(f"`{c}`") for c in docs.columns])
+    into = fresh(docs, "_language")
+    found = language.judged(docs, language.fit(docs), into)
+    clear = (F.col(into)["lang_pred"] != language.UNKNOWN) & (F.col(into)["score"] >= LEAST_SCORE)
+    return found.filter(clear).drop(into)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -20,10 +20,19 @@ def bounded(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= rows else keys
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, or the first like it that no column of `df` has in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """`docs` less the rows whose id is in `ids`; rows without id stay."""
-    gone = bounded(ids.select(F.col(ids.columns[0]).alias("_gone")))
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
+    name = fresh(docs, "_gone")
+    gone = bounded(ids.select(F.col(ids.columns[0]).alias(name)))
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col(name), "left_anti")
 
 
 def whole(text: str) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saldo.llm.common import bounded, whole, without
+from saldo.llm.common import bounded, fresh, whole, without
 from saldo.sources.scratch import settle
 
 CHUNK_LEAST, CHUNK_MOST = 512, 4096
@@ -109,15 +109,16 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     leaving = settle(per_id.filter("not all").select("doc_id", "some"), "leaving")
     present = docs.filter(F.col(f"`{id_col}`").isNotNull())
     stays = without(present, leaving.select("doc_id"), id_col)
-    unclear = leaving.filter("some").select(F.col("doc_id").alias("_unclear"))
+    unknown, key = fresh(docs, "_unclear"), fresh(docs, "_key")
+    unclear = leaving.filter("some").select(F.col("doc_id").alias(unknown))
     nameless = decided.filter(F.col("doc_id").isNull())
     if unclear.isEmpty() and nameless.isEmpty():
         return stays
-    mixed = present.join(bounded(unclear), F.col(f"`{id_col}`") == F.col("_unclear"), "left_semi")
+    mixed = present.join(bounded(unclear), F.col(f"`{id_col}`") == F.col(unknown), "left_semi")
     mixed = mixed.unionByName(docs.filter(F.col(f"`{id_col}`").isNull()))
     sha = F.sha2(normalise(text_col), 256)
     name = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
-    mixed = mixed.withColumn("_key", F.concat_ws(":", name, sha)).dropDuplicates(["_key"])
+    mixed = mixed.withColumn(key, F.concat_ws(":", name, sha)).dropDuplicates([key])
     keys = decided.filter("kept").select(
-        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_sha256").alias("_key"))
-    return stays.unionByName(mixed.join(keys, "_key", "left_semi").drop("_key"))
+        F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_sha256").alias(key))
+    return stays.unionByName(mixed.join(keys, key, "left_semi").drop(key))

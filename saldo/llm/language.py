@@ -5,7 +5,6 @@ mean over its n-grams of the longest length of which the model knows any. A text
 language with the largest sum.
 """
 
-import math
 import re
 from collections import Counter
 from collections.abc import Collection, Iterator
@@ -15,10 +14,12 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saldo.llm.common import importable
+from saldo.llm.common import fresh, importable
+from saldo.sources.scratch import settle
 
 UNKNOWN = "und"
 LONGEST = 5
@@ -48,12 +49,19 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """Log frequencies: rows of `table` by word, and by n-gram with its length before it."""
+    """Log frequencies: `entries` are words, and n-grams with their length before them.
+
+    The driver holds them as plain columns; a worker makes what it looks up from them.
+    """
 
     languages: list[str]
-    rows: dict[str, int]
+    entries: pa.Array
     table: np.ndarray
 
+    @cached_property
+    def rows(self) -> dict[str, int]:
+        return {entry: i for i, entry in enumerate(self.entries.to_pylist())}
+
     @cached_property
     def _grams(self) -> list[dict[str, int]]:
         """Rows of the n-grams of each length."""
@@ -140,7 +148,7 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
     rows = labelled.filter(F.col(f"`{lang_col}`").isNotNull() & F.col(f"`{text_col}`").isNotNull())
     sizes = rows.groupBy(F.col(f"`{lang_col}`").alias("lang")).count().collect()  # one row a language
     if not sizes:
-        return Model([], {}, np.zeros((0, 0)))
+        return Model([], pa.array([], pa.string()), np.zeros((0, 0)))
     shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample_docs / r["count"]))])
     place = F.pmod(F.xxhash64(F.col(f"`{text_col}`")), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.filter(place < F.element_at(shares, F.col(f"`{lang_col}`").cast("string")))
@@ -159,28 +167,27 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
     # The sums are over all entries, the cut to the most frequent comes after.
     ranked = entries.withColumn("total", F.sum("n").over(group)).withColumn(
         "rank", F.row_number().over(group.orderBy(F.desc("n"), "entry")))
-    kept = ranked.filter((F.col("rank") <= model_rows) & (F.col("n") >= _LEAST_COUNT)).collect()
+    kept = ranked.filter((F.col("rank") <= model_rows) & (F.col("n") >= _LEAST_COUNT))
+    kept = settle(kept.select("lang", "kind", "entry", "n", "total"), "language-model")
     languages = sorted(r["lang"] for r in sizes)
-    column = {lang: i for i, lang in enumerate(languages)}
-    rows_of: dict[str, int] = {}
-    for r in kept:
-        rows_of.setdefault(r["entry"], len(rows_of))
-    # What a language lacks counts as half an occurrence among all it has.
-    totals = {(r["lang"], r["kind"]): r["total"] for r in kept}
-    table = np.empty((len(rows_of), len(languages)))
-    for entry, at in rows_of.items():
-        kind = entry[0] if "|" in entry else "0"
-        table[at] = [math.log(0.5 / totals.get((lang, kind), 1.0)) for lang in languages]
-    for r in kept:
-        table[rows_of[r["entry"]], column[r["lang"]]] = math.log(r["n"] / r["total"])
-    return Model(languages, rows_of, table)
-
-
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """`docs` with lang_pred and score, which replace columns of these names.
-
-    `und` with score 0 where the text is null or has no letter, or the model knows no language.
-    """
+    totals = {(r["lang"], r["kind"]): r["total"] for r in kept.groupBy("lang", "kind").agg(F.max("total").alias("total")).collect()}
+    # One row an entry, its numbers as columns of Arrow: rows of Python would take ten times the memory.
+    numbers = [F.max(F.when(F.col("lang") == lang, F.col("n"))).alias(f"n{i}") for i, lang in enumerate(languages)]
+    found = kept.groupBy("entry").agg(*numbers).toArrow()
+    entries = found.column("entry").combine_chunks()
+    kinds = pc.if_else(pc.equal(pc.utf8_slice_codeunits(entries, 1, 2), "|"), pc.utf8_slice_codeunits(entries, 0, 1), "0").dictionary_encode()
+    table = np.empty((len(entries), len(languages)))
+    for i, lang in enumerate(languages):
+        of_kind = np.array([totals.get((lang, kind), 1) for kind in kinds.dictionary.to_pylist()], np.float64)
+        total = of_kind[kinds.indices.to_numpy()]
+        n = found.column(f"n{i}").to_numpy()
+        # What a language lacks counts as half an occurrence among all it has.
+        table[:, i] = np.log(np.where(np.isnan(n), 0.5, n) / total)
+    return Model(languages, entries, table)
+
+
+def judged(docs: DataFrame, model: Model, into: str, text_col: str = "text") -> DataFrame:
+    """`docs` with a struct of lang_pred and score in the new column `into`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_ROWS
 
     @F.pandas_udf("lang_pred string, score double")
@@ -189,5 +196,14 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         for batch in batches:
             yield pd.DataFrame([shared.value.predict(t, seen) for t in batch], columns=["lang_pred", "score"])
 
-    found = importable(docs).withColumn("_found", judge(F.col(f"`{text_col}`").cast("string")))
-    return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
+    return importable(docs).withColumn(into, judge(F.col(f"`{text_col}`").cast("string")))
+
+
+def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """`docs` with lang_pred and score, which replace columns of these names; all others stay.
+
+    `und` with score 0 where the text is null or has no letter, or the model knows no language.
+    """
+    into = fresh(docs, "_found")
+    found = judged(docs, model, into, text_col)
+    return found.withColumns({c: F.col(into)[c] for c in ("lang_pred", "score")}).drop(into)

@@ -257,3 +257,40 @@ def test_leaks_in_long_runs_of_names_and_numbers(spark):
     rows = [(1, "a, " + "Word Big " * 20_000 + item), (2, "1.1." * 300_000 + " " + item), (3, "x, " + "A" * 500_000), (4, "a" + " " * 300_000 + "B")]
     found = decontam.leaks(docs(spark, [(i, t, "en") for i, t in rows]), bench).collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 1)]
+
+
+def test_token_rollup_of_odd_rows_equals_a_recount(spark, tmp_path):
+    from saldo.llm import counts
+    from tests.llm.test_operators import tokenizer
+    rows = [(None, "a b\na b\nc", "en", "s"), (None, "x y", "en", "s"), (1, "p q\np q", "en", "s"), (1, "other words", "en", "s"),
+            (2, "bad\nbad", "fr", "t"), (2, "more", "fr", "t"), (3, None, None, None), (4, "", "en", "s"), (5, "fine one", "en", "s")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(2, 0, 1), (2, 0, 1), (4, 1, 0), (None, 0, 1)], "doc_id bigint, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    encode = tokenizer("byte_bpe_50k.json").encode
+    expected = Counter()
+    for doc, text, lang, source in rows:
+        if doc != 2:
+            text = "\n".join(dict.fromkeys((text or "").split("\n")))
+            expected[source, lang, "documents"] += 1
+            expected[source, lang, "tokens"] += len(encode(text, add_special_tokens=False).ids)
+    found = queries.op3_token_rollup(spark, str(tmp_path)).collect()
+    ours = Counter()
+    for r in found:
+        ours[r.source, r.lang, "documents"] += r.documents
+        ours[r.source, r.lang, "tokens"] += r.tokens
+    assert +ours == +expected and counts.KEYS == ("source", "lang", "version")
+
+
+def test_stages_keep_the_columns_of_their_documents(spark):
+    import corpus_pipeline
+    from tests.llm.test_operators import ODD
+    own = docs(spark).selectExpr("*", "7.0D AS score", "'own' AS lang_pred", "'f' AS _found", "'k' AS _key", "'u' AS _unclear",
+                                 "'g' AS _gone", "'l' AS _language")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, own, FOLDER)
+        assert kept.columns == own.columns, name
+        rows = kept.collect()
+        assert 0 < len(rows) <= len(ODD), name
+        assert {(r.score, r.lang_pred, r._found, r._key, r._unclear, r._gone, r._language) for r in rows} == {
+            (7.0, "own", "f", "k", "u", "g", "l")}, name
