@@ -8,13 +8,17 @@ word, so what overlaps is counted once.
 
 Lengths are counted one after the other. A phrase can be frequent only if its first words and
 its last words are, which a bitmap of bounded size tells, with errors on the safe side.
+
+Tasks work on columns: words are numbered within a block of rows, phrases are rows of numbers.
 """
 
-from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +31,13 @@ SPACING = 8
 #: Bits for each frequent phrase, and for all of them at most (16 MB); beyond, less is spared.
 _BITS_EACH, _BITS = 16, 1 << 27
 _BUCKET = 1 << 15  # bits of one of Spark's bitmaps
-#: Entries that a task holds before it hands them on.
-_HELD = 200_000
+#: Bytes of text that a task works on at once; a longer text is a block of its own.
+_BLOCK = 8 << 20
 #: Groups in which the best of a language are found before they meet.
 _SALTS = 32
 UNKNOWN = "und"
+#: A phrase is hashed by its words: odd factors, small enough for sums of 32-bit hashes in 63 bits.
+_FACTORS = tuple((0x9E3779B9 * (2 * i + 3) | 1) & 0xFFFFFFF for i in range(8))
 
 _TABLE = bytearray(range(256))
 _TABLE[0x41:0x5B] = range(0x61, 0x7B)
@@ -41,37 +47,92 @@ for _mark in b".,;:!?\x0A\x0B\x0C\x0D":
 _TABLE = bytes(_TABLE)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _HELD:
-            self.clear()
-        value = self[word] = crc32(word)
-        return value
-
-
-def chunks(text: bytes, hashes: dict[bytes, int], longest: int = LONGEST, spacing: int = SPACING):
-    """(chunk, words it owns) of a text, piece by piece; chunks share `longest` - 1 words."""
-    beyond = longest - 1
-    for piece in text.translate(_TABLE).split(b"\n"):
-        words = piece.split()
-        if not words:
-            continue
-        start = 0
-        if len(words) > beyond:
-            h = [hashes[w] for w in words]
-            for i in range(1, len(words) - beyond):
-                if (h[i] * 31 + h[i + 1]) % spacing == 0:
-                    yield b" ".join(words[start: i + beyond]), i - start
-                    start = i
-        yield b" ".join(words[start:]), len(words) - start
-
-
-def _batch(held: Counter, names: list[str]) -> pa.RecordBatch:
-    """Rows of the keys and their numbers; keys are (lang, bytes) or (lang, bytes, number)."""
-    columns = list(zip(*held))
-    arrays = [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.binary())]
-    arrays += [pa.array(c, pa.int32()) for c in columns[2:]]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(held.values(), pa.int64())], names)
+@dataclass
+class Words:
+    """Words of a block in order: their number in `distinct`, and the row of the block each is in."""
+
+    distinct: pa.Array
+    number: np.ndarray
+    row: np.ndarray
+    piece: np.ndarray
+
+    @property
+    def hashes(self) -> np.ndarray:
+        """crc32 of the distinct words."""
+        return np.fromiter(map(crc32, self.distinct.to_pylist()), np.int64, len(self.distinct))
+
+
+def words_of(texts: list[bytes]) -> Words:
+    """Words of lower-cased texts whose pieces are lines and whose words are parted by blanks."""
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    line = data == 0x0A
+    letter = ~line & (data != 0x20)
+    edge = np.diff(letter.astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    packed = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[letter].tobytes())])
+    coded = packed.dictionary_encode()
+    first = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    return Words(coded.dictionary, coded.indices.to_numpy().astype(np.int64),
+                 np.searchsorted(first, starts, "right") - 1, np.cumsum(line)[starts] if len(starts) else starts)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
+    """The rows of the batches in blocks of about `_BLOCK` bytes of a column."""
+    held, size = [], 0
+    for batch in batches:
+        at = 0
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)) if batch.num_rows else []
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + _BLOCK - size, "right")))
+            held.append(batch.slice(at, to - at))
+            size += int(ends[to - 1] - before)
+            at = to
+            if size >= _BLOCK:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of the members of spans, one span after the other."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+
+
+def chunks(texts: list[bytes], longest: int = LONGEST, spacing: int = SPACING) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(chunk, words it owns, row of its text) of the texts; chunks of a piece share `longest` - 1 words."""
+    w = words_of([t.translate(_TABLE) for t in texts])
+    n, beyond = len(w.number), longest - 1
+    if not n:
+        return pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    place = np.arange(n)
+    opens = np.append(True, w.piece[1:] != w.piece[:-1])
+    piece_starts = np.flatnonzero(opens)
+    end = np.repeat(np.append(piece_starts[1:], n), np.diff(np.append(piece_starts, n)))  # of the piece of each word
+    h = w.hashes[w.number]
+    trigger = (h * 31 + np.append(h[1:], 0)) % spacing == 0
+    starts = np.flatnonzero(opens | (trigger & (place + beyond < end)))
+    nexts = np.append(starts[1:], n)
+    own = nexts - starts
+    length = np.minimum(nexts + beyond, end[starts]) - starts
+    members = w.distinct.take(pa.array(w.number[_spans(starts, length)]))
+    offsets = pa.array(np.append(0, np.cumsum(length)), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, members), b" "), own, w.row[starts]
+
+
+def _summed(keys: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct key, and the sum of `n` over its places; keys are whole numbers from 0."""
+    key = keys[0]
+    for more in keys[1:]:
+        wide = int(more.max()) + 1 if len(more) else 1
+        key = np.unique(key, return_inverse=True)[1] * wide + more
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(key) else np.zeros(0, np.int64)
+    return order[first], np.add.reduceat(n[order], first) if len(key) else n
 
 
 def dictionary(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = LONGEST,
@@ -79,15 +140,15 @@ def dictionary(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
     """(lang, chunk, own, n): distinct chunks, the words each owns and the number of its places."""
 
     def parse(batches):
-        hashes, held = _Hashes(), Counter()
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                held.update((lang, c, own) for c, own in chunks(text.as_py(), hashes, longest, spacing))
-                if len(held) > _HELD:
-                    yield _batch(held, ["lang", "chunk", "own", "n"])
-                    held = Counter()
-        if held:
-            yield _batch(held, ["lang", "chunk", "own", "n"])
+        for block in _blocks(batches, 1):
+            found, own, row = chunks(block.column(1).to_pylist(), longest, spacing)
+            langs = block.column(0).combine_chunks().dictionary_encode()
+            coded = found.dictionary_encode()
+            at, n = _summed([coded.indices.to_numpy().astype(np.int64), langs.indices.to_numpy()[row].astype(np.int64), own],
+                            np.ones(len(own), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [langs.dictionary.take(langs.indices.take(pa.array(row[at]))), found.take(pa.array(at)),
+                 pa.array(own[at], pa.int32()), pa.array(n)], ["lang", "chunk", "own", "n"])
 
     text = F.col(f"`{text_col}`").cast("string")
     read = importable(docs).filter(text.isNotNull()).select(
@@ -102,16 +163,16 @@ class Bitmap:
     def __init__(self, bits: int, filled: bytes):
         self._mask, self._filled = bits - 1, filled
 
-    def test(self, lang: str):
-        """For phrases of a language: whether one may be frequent."""
-        from xxhash import xxh64_intdigest
+    def test(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes & self._mask
+        filled = np.frombuffer(self._filled, np.uint8)
+        return (filled[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
-        seed, mask, filled = xxh64_intdigest(lang.encode(), 42), self._mask, self._filled
 
-        def may(phrase: bytes) -> bool:
-            at = xxh64_intdigest(phrase, seed) & mask
-            return filled[at >> 3] >> (at & 7) & 1 == 1
-        return may
+def phrase_hash(lang: Column, phrase: Column) -> Column:
+    """Sum of the hashes of language and words, each times its factor; tasks compute the same."""
+    hashed = F.transform(F.split(phrase, " "), lambda w, i: F.crc32(w) * F.get(F.array(*map(F.lit, _FACTORS[1:])), i))
+    return F.crc32(lang) * _FACTORS[0] + F.aggregate(hashed, F.lit(0).cast("bigint"), lambda a, b: a + b)
 
 
 def bitmap(frequent: DataFrame, most: int = _BITS) -> Bitmap:
@@ -121,7 +182,7 @@ def bitmap(frequent: DataFrame, most: int = _BITS) -> Bitmap:
     while bits < min(wanted, most):
         bits *= 2
     # Spark's bitmaps count places from 1.
-    place = F.xxhash64("lang", F.col("phrase").cast("string")).bitwiseAND(F.lit(bits - 1)) + 1
+    place = phrase_hash(F.col("lang"), F.col("phrase")).bitwiseAND(F.lit(bits - 1)) + 1
     rows = frequent.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("filled")).collect()
     filled = np.zeros(bits // 8, np.uint8)
@@ -131,18 +192,28 @@ def bitmap(frequent: DataFrame, most: int = _BITS) -> Bitmap:
     return Bitmap(bits, filled.tobytes())
 
 
-def _phrases(words: list[bytes], own: int, size: int, may) -> list[bytes]:
-    """Phrases of `size` words that begin with an owned word and may be frequent."""
-    if size == 1:
-        return words[:own]
-    starts = min(own, len(words) - size + 1)
-    if starts < 1:
-        return []
-    if size == 2:
-        fine = list(map(may, words[: starts + 1]))
-    else:
-        fine = [may(b" ".join(words[i: i + size - 1])) for i in range(starts + 1)]
-    return [b" ".join(words[i: i + size]) for i in range(starts) if fine[i] and fine[i + 1]]
+def _counts(block: pa.Table, size: int, shorter: Bitmap | None) -> pa.RecordBatch:
+    """(lang, phrase, n) of the phrases of `size` words that chunks own and that may be frequent."""
+    w = words_of(block.column(1).to_pylist())
+    own, n = block.column(2).to_numpy(), block.column(3).to_numpy()
+    langs = block.column(0).combine_chunks().dictionary_encode()
+    lang = langs.indices.to_numpy().astype(np.int64)[w.row]
+    opens = np.flatnonzero(np.append(True, w.row[1:] != w.row[:-1]))
+    length = np.diff(np.append(opens, len(w.row)))
+    place = np.arange(len(w.row)) - np.repeat(opens, length)
+    at = np.flatnonzero((place < own[w.row]) & (place + size <= np.repeat(length, length)))
+    if shorter:
+        h = w.hashes[w.number]
+        of_lang = np.array([crc32(x.encode()) for x in langs.dictionary.to_pylist()], np.int64)[lang] * _FACTORS[0]
+        for skip in (0, 1):  # the phrase less its last word, then less its first
+            hashed = of_lang[at] + sum(h[at + skip + i] * _FACTORS[1 + i] for i in range(size - 1))
+            at = at[shorter.test(hashed)]
+    place, total = _summed([lang[at], *(w.number[at + i] for i in range(size))], n[w.row[at]])
+    at = at[place]
+    words = [w.distinct.take(pa.array(w.number[at + i])) for i in range(size)]
+    phrase = pc.binary_join_element_wise(*words, b" ") if size > 1 else words[0]
+    return pa.RecordBatch.from_arrays(
+        [langs.dictionary.take(pa.array(lang[at])), phrase, pa.array(total)], ["lang", "phrase", "n"])
 
 
 def counted(parsed: DataFrame, size: int, shorter: Bitmap | None, least: int = LEAST) -> DataFrame:
@@ -150,20 +221,8 @@ def counted(parsed: DataFrame, size: int, shorter: Bitmap | None, least: int = L
     shared = parsed.sparkSession.sparkContext.broadcast(shorter)  # at most `_BITS`
 
     def count(batches):
-        held, tests = Counter(), {}
-        for batch in batches:
-            columns = [batch.column(i) for i in range(4)]
-            for lang, chunk, own, n in zip(columns[0].to_pylist(), columns[1], columns[2].to_pylist(), columns[3].to_pylist()):
-                may = tests.get(lang)
-                if may is None and size > 1:
-                    may = tests[lang] = shared.value.test(lang)
-                for phrase in _phrases(chunk.as_py().split(b" "), own, size, may):
-                    held[lang, phrase] += n
-                if len(held) > _HELD:
-                    yield _batch(held, ["lang", "phrase", "n"])
-                    held = Counter()
-        if held:
-            yield _batch(held, ["lang", "phrase", "n"])
+        for block in _blocks(batches, 1):
+            yield _counts(block, size, shared.value)
 
     places = importable(parsed).select("lang", "chunk", "own", "n").mapInArrow(count, "lang string, phrase binary, n bigint")
     found = places.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
