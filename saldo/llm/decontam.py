@@ -16,8 +16,8 @@ from saldo.llm.common import bounded, whole, without
 from saldo.sources.scratch import settle
 
 WINDOW = 8
-#: Items of fewer words are too short to tell, as is a form of them with fewer; so are windows with
-#: more placeholders, unless the values are the same.
+#: Items of fewer words are found as they are only, whole and with their own numbers: a template of
+#: them would fit too much. So are windows with more placeholders.
 SHORTEST, MOST_SLOTS = 5, 4
 #: A document holds an item if it has half of the item's windows of a form, or this many.
 COVERAGE, ENOUGH = 0.5, 13
@@ -86,7 +86,7 @@ def _windows(text: Column, words: Column, sizes: list[int], form: str, item: boo
             F.lit(literal).alias("literal")))
 
     def of_size(v: Column, size: int) -> Column:
-        most, last = min(MOST_SLOTS, size // 2), F.size(v["h"]) - size
+        most, last = min(MOST_SLOTS, size // 2) if size >= SHORTEST else 0, F.size(v["h"]) - size
         every = F.sequence(F.lit(0), last)
         if not item and form == NAMED:
             return F.when(last >= 0, hashed(v["h"], every, size, False)).otherwise(none)
@@ -126,7 +126,7 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     items = settle(items.distinct(), "items")
     found = []
     for form in FORMS:
-        for size in range(SHORTEST, WINDOW + 1):
+        for size in range(SHORTEST if form == NAMED else 1, WINDOW + 1):
             mine = items.filter(F.size(form) == size if size < WINDOW else F.size(form) >= WINDOW)
             placed = mine.select("item_id", F.explode(_windows(F.col("text"), F.col(form), [size], form, True)).alias("w"))
             found.append(placed.select("item_id", F.col("w.at").alias("item_at"), "w.window", "w.literal",
