@@ -13,13 +13,17 @@ from saldo.sources.scratch import settle
 
 #: A text whose best language has no majority over the others is rejected, as is one without letters.
 LEAST_SCORE = 0.5
+#: So is one whose words are on average less familiar: letters struck at random, languages not learnt.
+LEAST_FAMILIAR = 0.6
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with a language; those without letters, or without one ahead of all others, go."""
+    """Documents with a language; those without letters, without one ahead of all others, or of
+    words that no learnt language has, go. Where nothing is labelled, no language is known and all go."""
     into = fresh(docs, "_language")
     found = language.judged(docs, language.fit(docs), into)
-    clear = (F.col(into)["lang_pred"] != language.UNKNOWN) & (F.col(into)["score"] >= LEAST_SCORE)
+    clear = ((F.col(into)["lang_pred"] != language.UNKNOWN) & (F.col(into)["score"] >= LEAST_SCORE)
+             & (F.col(into)["familiar"] >= LEAST_FAMILIAR))
     return found.filter(clear).drop(into)
 
 

@@ -27,7 +27,8 @@ LONGEST = 5
 SAMPLE_DOCS = 2_000
 #: The model has at most this many words, and n-grams of each length, of each language.
 MODEL_ROWS = 30_000
-_LEAST_COUNT = 2
+#: Texts that a word or n-gram must occur in: one text cannot make its own words familiar.
+_LEAST_TEXTS = 2
 
 _WORD = re.compile(r"[^\W\d_]+")
 _CACHE = 500_000
@@ -71,28 +72,33 @@ class Model:
                 out[int(entry[0])][entry[2:]] = row
         return out
 
-    def evidence(self, word: str) -> np.ndarray | None:
+    def evidence(self, word: str) -> tuple[np.ndarray | None, float]:
+        """Log frequency in each language, and how familiar the word is: 1 if known, else by its longest n-grams."""
         row = self.rows.get(word)
         if row is not None:
-            return self.table[row]
+            return self.table[row], 1.0
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
             known = [r for r in map(self._grams[n].get, grams(word, n)) if r is not None]
             if known:
-                return np.add.reduce(self.table[known]) / len(known)
-        return None
+                return np.add.reduce(self.table[known]) / len(known), n / (LONGEST + 1)
+        return None, 0.0
 
-    def predict(self, text: str | None, seen: "Seen") -> tuple[str, float]:
-        """Language and its posterior share; `seen` keeps the evidence of words."""
+    def predict(self, text: str | None, seen: "Seen") -> tuple[str, float, float]:
+        """Language, its posterior share, and the mean familiarity of the words; `seen` keeps the evidence of words."""
         counts = Counter(_WORD.findall(text.lower())) if text else {}
         if not self.languages or not any(_has_letter(w) for w in counts):
-            return UNKNOWN, 0.0
-        total = np.fromiter(counts.values(), np.float64, len(counts)) @ seen.evidence(counts)
+            return UNKNOWN, 0.0, 0.0
+        sums = np.fromiter(counts.values(), np.float64, len(counts)) @ seen.evidence(counts)
+        total, (familiar, words) = sums[:-2], sums[-2:]
         best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+        return self.languages[best], float(1 / np.exp(total - total[best]).sum()), float(familiar / words)
 
 
 class Seen:
-    """Evidence of the words met so far, a row each; emptied when it holds `_CACHE` words."""
+    """Evidence of the words met so far, a row each; emptied when it holds `_CACHE` words.
+
+    Two columns follow those of the languages: how familiar the word is, and 1 if it is one.
+    """
 
     def __init__(self, model: Model):
         self._model = model
@@ -100,7 +106,7 @@ class Seen:
 
     def _forget(self) -> None:
         self._places: dict[str, int] = {}
-        self._table = np.zeros((1024, len(self._model.languages)))
+        self._table = np.zeros((1024, len(self._model.languages) + 2))
 
     def evidence(self, words: Collection[str]) -> np.ndarray:
         if len(self._places) >= _CACHE:
@@ -114,28 +120,33 @@ class Seen:
         place = self._places[word] = len(self._places)
         if place == len(self._table):
             self._table = np.concatenate([self._table, np.zeros_like(self._table)])
-        found = self._model.evidence(word) if _has_letter(word) else None
-        if found is not None:
-            self._table[place] = found
+        if _has_letter(word):
+            found, familiar = self._model.evidence(word)
+            if found is not None:
+                self._table[place, :-2] = found
+            self._table[place, -2:] = familiar, 1.0
         return place
 
 
 def _counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
-    """(lang, word, n), added up in each task first."""
+    """(lang, word, n, texts): occurrences and texts that have the word, added up in each task first."""
 
     def count(batches):
         for batch in batches:
             seen: Counter = Counter()
+            texts: Counter = Counter()
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                seen.update((lang, w) for w in words_of(text.as_py()))
+                of_text = Counter((lang, w) for w in words_of(text.as_py()))
+                seen.update(of_text)
+                texts.update(of_text.keys())
             if seen:
                 (langs, words), n = zip(*seen), list(seen.values())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())],
-                    ["lang", "word", "n"])
+                    [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64()),
+                     pa.array([texts[key] for key in seen], pa.int64())], ["lang", "word", "n", "texts"])
 
     read = importable(docs).select(F.col(f"`{lang}`").cast("string"), F.col(f"`{text}`").cast("string"))
-    return read.mapInArrow(count, "lang string, word string, n bigint")
+    return read.mapInArrow(count, "lang string, word string, n bigint, texts bigint")
 
 
 def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
@@ -152,22 +163,22 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
     shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample_docs / r["count"]))])
     place = F.pmod(F.xxhash64(F.col(f"`{text_col}`")), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.filter(place < F.element_at(shares, F.col(f"`{lang_col}`").cast("string")))
-    counted = _counts(sample, lang_col, text_col).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counted = _counts(sample, lang_col, text_col).groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
     padded = F.concat(F.lit(" "), "word", F.lit(" "))
     lengths = F.array(*[F.lit(n) for n in range(1, LONGEST + 1)])
     spans = F.flatten(F.transform(lengths, lambda n: F.when(F.length(padded) >= n, F.transform(
         F.sequence(F.lit(1), F.length(padded) - n + 1),
         lambda i: F.concat(n.cast("string"), F.lit("|"), F.substring(padded, i, n)),
     )).otherwise(F.array().cast("array<string>"))))
-    gram = counted.select("lang", F.explode(spans).alias("entry"), "n").groupBy("lang", "entry").agg(
-        F.sum("n").alias("n")).withColumn("kind", F.substring("entry", 1, 1))
-    word = counted.select("lang", F.col("word").alias("entry"), "n", F.lit("0").alias("kind"))
+    gram = counted.select("lang", F.explode(spans).alias("entry"), "n", "texts").groupBy("lang", "entry").agg(
+        F.sum("n").alias("n"), F.sum("texts").alias("texts")).withColumn("kind", F.substring("entry", 1, 1))
+    word = counted.select("lang", F.col("word").alias("entry"), "n", "texts", F.lit("0").alias("kind"))
     entries = word.unionByName(gram)
     group = Window.partitionBy("lang", "kind")
     # The sums are over all entries, the cut to the most frequent comes after.
     ranked = entries.withColumn("total", F.sum("n").over(group)).withColumn(
         "rank", F.row_number().over(group.orderBy(F.desc("n"), "entry")))
-    kept = ranked.filter((F.col("rank") <= model_rows) & (F.col("n") >= _LEAST_COUNT))
+    kept = ranked.filter((F.col("rank") <= model_rows) & (F.col("texts") >= _LEAST_TEXTS))
     kept = settle(kept.select("lang", "kind", "entry", "n", "total"), "language-model")
     languages = sorted(r["lang"] for r in sizes)
     totals = {(r["lang"], r["kind"]): r["total"] for r in kept.groupBy("lang", "kind").agg(F.max("total").alias("total")).collect()}
@@ -187,14 +198,18 @@ def fit(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
 
 
 def judged(docs: DataFrame, model: Model, into: str, text_col: str = "text") -> DataFrame:
-    """`docs` with a struct of lang_pred and score in the new column `into`."""
+    """`docs` with a struct of lang_pred, score and familiar in the new column `into`.
+
+    `familiar` is the mean over the words of a text: 1 for a word of the model, else the length of
+    its longest known n-grams by one more than the longest. It does not grow with the text.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MODEL_ROWS
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, familiar double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         seen = Seen(shared.value)
         for batch in batches:
-            yield pd.DataFrame([shared.value.predict(t, seen) for t in batch], columns=["lang_pred", "score"])
+            yield pd.DataFrame([shared.value.predict(t, seen) for t in batch], columns=["lang_pred", "score", "familiar"])
 
     return importable(docs).withColumn(into, judge(F.col(f"`{text_col}`").cast("string")))
 

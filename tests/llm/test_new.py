@@ -2,12 +2,13 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from saldo.llm import collocations, licenses, queries, vectorcodes
@@ -203,35 +204,45 @@ def test_collocations_equal_brute_force(spark, longest, top):
     assert mined(docs(spark, [])) == []
 
 
-def test_chunks_own_each_word_once():
+def test_chunks_own_each_word_once(monkeypatch):
     rng = random.Random(9)
     words = [f"w{i}" for i in range(30)]
-    seen = set()
-    for _ in range(50):
-        said = [rng.choice(words) for _ in range(rng.randint(1, 200))]
-        parts = list(collocations.chunks(" ".join(said).encode(), collocations._Hashes()))
-        assert [w for c, own in parts for w in c.decode().split()[:own]] == said
-        assert all(len(c.split()) == own + 2 for c, own in parts[:-1])
-        seen.add(len(parts))
-    assert max(seen) > 8
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 200))) for _ in range(50)]
+    found, own, row = collocations.chunks([t.encode() for t in texts])
+    parts = [(c.decode().split(), n, r) for c, n, r in zip(found.to_pylist(), own, row)]
+    assert [" ".join(w for c, n, r in parts if r == i for w in c[:n]) for i in range(50)] == texts
+    lasts = {i for i, (_, _, r) in enumerate(parts) if i + 1 == len(parts) or parts[i + 1][2] != r}
+    assert all(len(c) == n + (0 if i in lasts else 2) for i, (c, n, _) in enumerate(parts))
+    assert len(parts) > 300
     # A passage gives the same chunks wherever it stands, but for its ends.
     passage = " ".join(rng.choice(words) for _ in range(100))
-    sets = [{c for c, _ in collocations.chunks(f"{before} {passage}".encode(), collocations._Hashes())} for before in ("w1 w2", "w3")]
+    sets = [set(collocations.chunks([f"{before} {passage}".encode()])[0].to_pylist()) for before in ("w1 w2", "w3")]
     assert len(sets[0] & sets[1]) >= 0.6 * len(sets[0])
+    assert len(collocations.chunks([])[0]) == len(collocations.chunks([b"", b" .. "])[0]) == 0
+
+
+def test_small_blocks_change_nothing(spark, monkeypatch):
+    texts = [("a b c " * 40 + "d. a b", "en")] * 15 + [("x " * 3000, None)]
+    df = docs(spark, [(1, t, lang) for t, lang in texts])
+    expected = mined(df)
+    batches = [pa.RecordBatch.from_arrays([pa.array([b"x" * n for n in sizes])], ["t"]) for sizes in ([], [1, 50, 2], [3, 3, 3, 90])]
+    monkeypatch.setattr(collocations, "_BLOCK", 10)
+    blocks = list(collocations._blocks(iter(batches), 0))
+    assert [v for b in blocks for v in b.column(0).to_pylist()] == [v for b in batches for v in b.column(0).to_pylist()]
+    assert len(blocks) == 3 and expected == sorted(collocations_by_hand(texts))
 
 
 def test_bitmap_knows_every_phrase(spark):
     rows = [(lang, f"{p} é", 12) for lang in ("en", "zh-é") for p in range(3000)]
     frame = spark.createDataFrame(rows, "lang string, phrase string, f bigint")
+    crc = lambda text: zlib.crc32(text.encode())
+    hashed = lambda lang, phrases: np.array([crc(lang) * collocations._FACTORS[0] + sum(
+        crc(w) * f for w, f in zip(p.split(), collocations._FACTORS[1:])) for p in phrases])
     for most in (collocations._BITS, 1 << 15):  # with few bits, more seem frequent, none is lost
         known = collocations.bitmap(frame, most)
         for lang in ("en", "zh-é"):
-            may = known.test(lang)
-            assert all(may(f"{p} é".encode()) for p in range(3000))
-            others = sum(may(f"other {p}".encode()) for p in range(1000))
-            assert others < (150 if most > 1 << 15 else 400)
-    assert spark.range(1).select(F.xxhash64(F.lit("zh-é"), F.lit("a b"))).first()[0] % 2**64 == xxhash.xxh64_intdigest(
-        "a b".encode(), xxhash.xxh64_intdigest("zh-é".encode(), 42))
+            assert known.test(hashed(lang, [f"{p} é" for p in range(3000)])).all()
+            assert known.test(hashed(lang, [f"other {p}" for p in range(1000)])).sum() < (150 if most > 1 << 15 else 400)
 
 
 def test_scores_of_large_counts(spark):
@@ -294,3 +305,25 @@ def test_stages_keep_the_columns_of_their_documents(spark):
         assert 0 < len(rows) <= len(ODD), name
         assert {(r.score, r.lang_pred, r._found, r._key, r._unclear, r._gone, r._language) for r in rows} == {
             (7.0, "own", "f", "k", "u", "g", "l")}, name
+
+
+def test_language_stage_rejects_junk_and_keeps_clean_text(spark):
+    import corpus_pipeline
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    junk = ["xq zvkj wqpt bnmf hjkl", "qwrt zxcv pqwz " * 5000, "これは 日本語 です", "!!! 123", "", None]
+    made = table.limit(0).unionByName(spark.createDataFrame(
+        [(-1 - i, t, "en", "junk", 0) for i, t in enumerate(junk)], table.schema))
+    kept = corpus_pipeline.identify_language(spark, table.unionByName(made), FOLDER)
+    ids = {r.doc_id for r in kept.collect()}
+    assert not {i for i in ids if i < 0}
+    assert ids == {r.doc_id for r in table.collect()}
+
+
+def test_short_items_are_found_as_they_are(spark):
+    from saldo.llm import decontam
+    bench = spark.createDataFrame([(1, "Name Rome"), (2, "12 of 30"), (3, "eureka"), (4, ""), (5, "one two three four")],
+                                  "item_id bigint, text string")
+    rows = [(1, "they name, ROME as it is"), (2, "he ate 12 of 30 eggs"), (3, "he ate 13 of 30 eggs"), (4, "Eureka!"), (5, "eurekas"),
+            (6, "one two, three\nfour"), (7, "one two three"), (8, "Name Paris")]
+    found = decontam.leaks(docs(spark, [(i, t, "en") for i, t in rows]), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 2), (4, 3), (6, 5)]
