@@ -327,3 +327,10 @@ def test_short_items_are_found_as_they_are(spark):
             (6, "one two, three\nfour"), (7, "one two three"), (8, "Name Paris")]
     found = decontam.leaks(docs(spark, [(i, t, "en") for i, t in rows]), bench).collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 2), (4, 3), (6, 5)]
+
+
+@pytest.mark.parametrize("name", ["op2_chat_rotation", "op5_secret_scan", "op9_url_filter", "op10_exact_dedup"])
+def test_native_queries_hold_no_python(spark, name):
+    plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow", "ExistingRDD"):
+        assert word not in plan
