@@ -23,11 +23,12 @@ SHORTEST, MOST_SLOTS = 5, 4
 COVERAGE, ENOUGH = 0.5, 13
 
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
-# The repeats are possessive: others hold a stack frame each, and long runs overflow it.
-_NAMES = r"([\p{Ll},;]\s+)(\p{Lu}\p{L}*+(?:\s++\p{Lu}\p{L}*+)*+)"
+# The repeats are possessive: others hold a stack frame each, and long runs overflow it. Patterns begin with
+# a character that is rare and looked up fast: a blank, a mark.
+_NAMES = r"\s(?<=[\p{Ll},;]\s)\s*+(\p{Lu}\p{L}*+(?:\s++\p{Lu}\p{L}*+)*+)"
 _NUMBERS = r"\p{Nd}++(?:[.,:/]\p{Nd}++)*+"
 # Units that count as such after a number.
-_UNITS = ("(?<=\u0002\\s{1,2})(?:km|cm|mm|m|kg|mg|g|t|lb|lbs|oz|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|"
+_UNITS = ("\u0002\\s{1,2}+(km|cm|mm|m|kg|mg|g|t|lb|lbs|oz|l|ml|s|ms|min|h|hours?|minutes?|seconds?|days?|"
           "weeks?|months?|years?|miles?|feet|ft|inch(?:es)?|meters?|metres?|grams?|litres?|liters?|"
           r"dollars?|euros?|cents?|percent|usd|eur|gbp)(?!\p{L})")
 _SPLIT = "[^\\p{L}\\p{Nd}\u0001\u0002\u0003]+"
@@ -42,11 +43,13 @@ def _unmarked(text: Column) -> Column:
 
 
 def _marked(text: Column) -> tuple[Column, Column, Column]:
-    """The text after names, then numbers, then units were replaced; each placeholder is a word."""
-    named = F.regexp_replace(text, _NAMES, f"$1 {NAME} ")
-    numbered = F.when(named.rlike(r"\p{Nd}"), F.regexp_replace(named, _NUMBERS, f" {NUMBER} ")).otherwise(named)
-    lowered = F.lower(numbered)
-    united = F.when(F.contains(lowered, F.lit(NUMBER)), F.regexp_replace(lowered, _UNITS, f" {UNIT} ")).otherwise(lowered)
+    """The text after names, then numbers, then units were replaced; each placeholder is a word.
+
+    Each step reads the one before once: inside of lambda functions nothing that is read twice is shared.
+    """
+    named = F.regexp_replace(text, _NAMES, f" {NAME} ")
+    lowered = F.lower(F.regexp_replace(named, _NUMBERS, f" {NUMBER} "))
+    united = F.regexp_replace(lowered, _UNITS, f"{NUMBER} {UNIT} ")
     return named, lowered, united
 
 
@@ -66,11 +69,10 @@ def template(text: Column, form: str = NAMED) -> Column:
     """
     text = _unmarked(text)
     if form == PLAIN:
-        lowered = F.lower(text)
-        marked = F.when(lowered.rlike(r"\p{Nd}"), F.regexp_replace(lowered, _NUMBERS, f" {NUMBER} ")).otherwise(lowered)
+        marked = F.regexp_replace(F.lower(text), _NUMBERS, f" {NUMBER} ")
     else:
         marked = _marked(text)[2]
-    return F.filter(F.split(marked, _SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(marked, _SPLIT), "")
 
 
 def _windows(text: Column, words: Column, sizes: list[int], form: str, item: bool) -> Column:
@@ -163,9 +165,9 @@ def _slots(text: Column) -> Column:
     text = _unmarked(text)
     named, lowered, united = _marked(text)
     values = F.create_map(
-        F.lit(NAME), F.transform(F.regexp_extract_all(text, F.lit(_NAMES), 2), lambda v: F.regexp_replace(v, r"\s+", " ")),
+        F.lit(NAME), F.transform(F.regexp_extract_all(text, F.lit(_NAMES), 1), lambda v: F.regexp_replace(v, r"\s+", " ")),
         F.lit(NUMBER), F.regexp_extract_all(named, F.lit(_NUMBERS), 0),
-        F.lit(UNIT), F.regexp_extract_all(lowered, F.lit(_UNITS), 0))
+        F.lit(UNIT), F.regexp_extract_all(lowered, F.lit(_UNITS), 1))
 
     def of(v: Column) -> Column:
         def kind(mark: str) -> Column:
