@@ -28,6 +28,18 @@ def _packed(ids: list[int]) -> Ids:
     return out.tobytes()
 
 
+class _Spelling(dict):
+    """Code point to how the vocabulary spells the letter, as the library gives it; for `str.translate`."""
+
+    def __init__(self, pieces):
+        super().__init__()
+        self._pieces = pieces
+
+    def __missing__(self, point: int) -> str:
+        self[point] = found = self._pieces(chr(point))[0][0]
+        return found
+
+
 class Encoder:
     """Ids of whole texts as bytes. Each cache holds two generations of `size` words.
 
@@ -35,7 +47,7 @@ class Encoder:
     left whole to the library.
     """
 
-    def __init__(self, path: str, size: int = 200_000):
+    def __init__(self, path: str, size: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
@@ -48,7 +60,7 @@ class Encoder:
         self._line_end = any(p == "Ċ" for p, _ in self._pieces("a\nb"))
         self._blank = self._pieces(" a")[0][0].removesuffix("a")
         self._lower = self._pieces("A")[0][0] == "a"
-        self._bytes: dict[str, str] = {}
+        self._spelling = _Spelling(self._pieces)
         # Ids of a word after a blank, of a word that begins a text, of a piece for the merges.
         self._young: list[dict] = [{}, {}, {}]
         self._old: list[dict] = [{}, {}, {}]
@@ -82,30 +94,24 @@ class Encoder:
             text = self._normalizer.normalize_str(text)
         return self._pre.pre_tokenize_str(text)
 
-    def _as_bytes(self, letter: str) -> str:
-        """A letter as the vocabulary spells its bytes, as the library gives it."""
-        found = self._bytes.get(letter)
-        if found is None:
-            found = self._bytes[letter] = self._pieces(letter)[0][0]
-        return found
-
     def _unit(self, word: str, first: bool) -> Ids:
         before = "" if first else self._blank
         if not _SIMPLE.fullmatch(word):
             return b"".join([self._piece(p) for p, _ in self._pieces(word if first else " " + word)])
-        ids = b""
+        ids, known = [], self._young[2]
         for run in _RUNS.findall(word):
             if run == "\n":
                 if self._line_end:
-                    ids += self._piece("Ċ")
+                    ids.append(self._piece("Ċ"))
                 continue
-            if run.isascii():
-                run = run.lower() if self._lower else run
-            else:
-                run = "".join([self._as_bytes(c) for c in run])
-            ids += self._piece(before + run)
+            if not run.isascii():
+                run = run.translate(self._spelling)
+            elif self._lower:
+                run = run.lower()
+            piece = before + run
+            ids.append(known.get(piece) or self._piece(piece))
             before = ""
-        return ids
+        return b"".join(ids)
 
     def _word(self, word: str, first: bool) -> Ids | None:
         """None: the word cannot be taken by itself."""
@@ -123,7 +129,7 @@ class Encoder:
                 return self._plain(text)
         words = text.split(" ")
         get = self._young[0].get
-        found = [get(w) for w in words]
+        found = list(map(get, words))
         found[0] = self._young[1].get(words[0])
         if None in found:
             found = [self._word(w, i == 0) if f is None else f
