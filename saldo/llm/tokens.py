@@ -18,6 +18,8 @@ _MARKS = ".,;:!?"
 #: Words of Latin letters and marks, also across single line ends. Both vocabularies split
 #: them into runs of letters, runs of marks and line ends.
 _SIMPLE = re.compile(f"[{_LETTERS}{_MARKS}]+(?:\n[{_LETTERS}{_MARKS}]+)*")
+#: The most common of them: letters, then marks.
+_COMMON = re.compile(f"([{_LETTERS}]+)([{_MARKS}]*)").fullmatch
 _RUNS = re.compile(f"[{_LETTERS}]+|[{_MARKS}]+|\n")
 
 
@@ -116,8 +118,20 @@ class Encoder:
     def _word(self, word: str, first: bool) -> Ids | None:
         """None: the word cannot be taken by itself."""
         kind = int(first)
-        if word in self._old[kind]:
-            return self._remember(kind, word, self._old[kind][word])
+        ids = self._old[kind].get(word)
+        if ids is not None:
+            return self._remember(kind, word, ids)
+        if not first and (common := _COMMON(word)):
+            letters, marks = common.groups()
+            if not letters.isascii():
+                letters = letters.translate(self._spelling)
+            elif self._lower:
+                letters = letters.lower()
+            known, piece = self._young[2], self._blank + letters
+            ids = known.get(piece) or self._piece(piece)
+            if marks:
+                ids += known.get(marks) or self._piece(marks)
+            return self._remember(0, word, ids) if len(word) <= 64 else ids
         if not word or word[0].isspace() or word[-1].isspace() or "᠎" in word:
             return None
         ids = self._unit(word, first)
@@ -132,8 +146,8 @@ class Encoder:
         found = list(map(get, words))
         found[0] = self._young[1].get(words[0])
         if None in found:
-            found = [self._word(w, i == 0) if f is None else f
-                     for i, (w, f) in enumerate(zip(words, found))]
+            for i in [i for i, ids in enumerate(found) if ids is None]:
+                found[i] = self._word(words[i], i == 0)
             if None in found:
                 return self._merged(words, found)
         return b"".join(found)
