@@ -110,6 +110,27 @@ QUERIES = {f.__name__: f for f in (
     op6_minhash_near_dedup, op7_token_files, op8_decontamination, op9_url_filter, op10_exact_dedup,
     op11_vector_codes, op12_license_scan, op13_collocations)}
 
+_ROTATION_SQL = r"""
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text) - 1 AS place FROM turns),
+voices AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'),
+said AS (
+    SELECT p.conv_id, perspective, place, place // 64 AS part, speaker = perspective AS own,
+           concat('<|im_start|>', CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant'
+                  ELSE 'user name=' || speaker END, chr(10)) AS head,
+           concat(text, '<|im_end|>', chr(10)) AS body
+    FROM placed p JOIN voices v ON p.conv_id IS NOT DISTINCT FROM v.conv_id),
+ended AS (
+    SELECT *, (sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective ORDER BY place))::BIGINT AS stop
+    FROM said)
+SELECT conv_id, part, perspective, string_agg(head || body, '' ORDER BY place) AS rendered,
+       coalesce(string_agg(concat(stop - length(body), ':', stop), ',' ORDER BY place) FILTER (own), '') AS mask,
+       count(*) AS n_turns, coalesce(sum(length(body)) FILTER (own), 0)::BIGINT AS n_masked
+FROM ended GROUP BY conv_id, part, perspective
+"""
+
 _EXACT_SQL = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
            FROM documents)
@@ -143,7 +164,7 @@ FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON lowest.a = d
 
 _SECRETS_SQL = r"""
 WITH rules(ord, kind, pattern, part, least) AS (VALUES
-    (0, 'assign', '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+    (0, 'assign', '({keys})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
     (1, 'access', 'AKIA[A-Z0-9]+', 0, 20), (2, 'hex', '[0-9a-f]{24,}', 0, 24)),
 m AS (
     SELECT doc_id, ord, kind, least, list_transform(string_split_regex(text, pattern), lambda x: length(x)) AS gaps,
@@ -166,6 +187,10 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN per_doc USING (doc_id)
 """
 
+# Letter by letter, as a flag for letter case folds more than A to Z.
+_SECRETS_SQL = _SECRETS_SQL.replace("{keys}", "".join(
+    f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key"))
+
 _NEAREST = """SELECT vec_id, p, min_by(e, (d, e)) AS e, min(d) AS d FROM (
     SELECT vec_id, x.p, e, list_sum(list_transform(list_zip(x.x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
     FROM parts x JOIN {books} b ON x.p = b.p) GROUP BY vec_id, p"""
@@ -222,5 +247,5 @@ SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranke
 """
 
 #: DuckDB SQL of the whole result: all pairs for near copies, every pattern on every text for secrets.
-ORACLE_SQL = {"op5_secret_scan": _SECRETS_SQL, "op6_minhash_near_dedup": _NEAR_SQL, "op10_exact_dedup": _EXACT_SQL,
+ORACLE_SQL = {"op2_chat_rotation": _ROTATION_SQL, "op5_secret_scan": _SECRETS_SQL, "op6_minhash_near_dedup": _NEAR_SQL, "op10_exact_dedup": _EXACT_SQL,
               "op11_vector_codes": _CODES_SQL, "op13_collocations": _PHRASES_SQL}

@@ -126,6 +126,30 @@ def test_packing_and_files_keep_every_id(spark):
         assert made(docs(spark, []), queries.tokenizer_path("word_bpe_49k.json")).count() == 0
 
 
+@pytest.mark.parametrize("rows", [ODD, None])
+def test_packed_documents_equal_the_library(spark, tmp_path, rows):
+    """Every document of the table and of the odd rows: pieces, sequences, and the buckets read back."""
+    made = spark.read.parquet(f"{FOLDER}/documents.parquet") if rows is None else docs(spark, rows)
+    packed = packing.pieces(made, queries.tokenizer_path("word_bpe_49k.json"))
+    packing.write_buckets(packed, str(tmp_path / "buckets"))
+    back = spark.read.parquet(str(tmp_path / "buckets")).collect()
+    assert sorted((r.sequence_id, r.ids) for r in back) == sorted((r.sequence_id, r.ids) for r in packed.collect())
+    assert len({r.sequence_id for r in back}) == len(back)
+    library, pieces, whole = tokenizer("word_bpe_49k.json"), sorted(back, key=lambda r: r.sequence_id), []
+    for r in pieces:  # those of a document follow one another
+        assert r.bucket == r.length == len(r.ids) // 4 and r.length.bit_count() == 1 and r.length <= 2048 and r.offset == 0
+        if r.start == 0:
+            whole.append((r.doc_id, r.doc_tokens, b""))
+        doc, size, ids = whole[-1]
+        assert (r.doc_id, r.doc_tokens, r.start) == (doc, size, len(ids) // 4)
+        whole[-1] = (doc, size, ids + r.ids)
+    expected = [(r.doc_id, np.array(library.encode(r.text or "", add_special_tokens=False).ids + [1], "<u4").tobytes())
+                for r in made.select("doc_id", "text").collect()]
+    assert all(len(ids) == 4 * size for _, size, ids in whole)
+    assert sorted(((d is not None, d or 0), ids) for d, _, ids in whole) == sorted(
+        ((d is not None, d or 0), ids) for d, ids in expected)
+
+
 def test_elias_fano():
     rng = np.random.default_rng(4)
     for n in (0, 1, 2, 63, 64, 65, 1000):
@@ -325,5 +349,6 @@ def test_pipeline_stages(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_equal_their_sql(spark, name):
     db = duckdb.connect()
-    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    for table in ("documents", "embeddings", "conversations"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     assert mismatch(queries.QUERIES[name](spark, FOLDER), db, queries.ORACLE_SQL[name]) is None
