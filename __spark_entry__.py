@@ -77,7 +77,7 @@ def _report_batch(spark: SparkSession, folder: str) -> DataFrame:
                "profit", "year", "month", "quarter", "year_month")
     sales = scratch.settle(star.sales_from_star(spark, folder, columns), "sales")
     status = reports.run_reports(sales, scratch.new_folder(spark, "reports"))
-    return status.select("relatorio", "ok", "linhas")
+    return status.select("relatorio", "ok", "linhas", "impressao")
 
 
 # ---- cleaning ---------------------------------------------------------------
@@ -558,16 +558,27 @@ WHERE concat_ws(',', v1, v2, v3, v4, v5) <> ''"""
 
 _SQL_GROWTH = _int_ratio("mrr - antes", "antes", 2, 2, 100)
 
-_REPORT_ROWS = {
-    "sql_mrr_mensal": "count(DISTINCT year_month)",
-    "sql_segmentos": "count(DISTINCT segment)",
-    "sql_top_produtos": "least(10, count(DISTINCT product))",
-    "sql_top_clientes": "least(10, count(DISTINCT (customer_name, segment)))",
-    "sql_trimestral": "count(DISTINCT (year, quarter))",
-    "sql_descontos": f"count(DISTINCT {_BAND})",
+# Report file -> its query, its columns in order of their names; those of text are marked.
+_REPORT_COLUMNS = {
+    "sql_mrr_mensal": ("mrr_growth", "arpu arr clientes_ativos crescimento_mom_pct margem_pct mrr periodo:"),
+    "sql_segmentos": ("sql_segments", "arpu clientes lucro_total margem_pct receita_total segmento: share_pct"),
+    "sql_top_produtos": ("sql_top_products", "clientes desconto_medio_pct margem_pct produto: rank receita_total"),
+    "sql_top_clientes": ("sql_top_customers", "cliente: margem_pct receita_total segmento: share_pct"),
+    "sql_trimestral": ("sql_quarters", "ano clientes lucro margem_pct receita trimestre"),
+    "sql_descontos": ("sql_discount_bands", "faixa_desconto: margem_pct pedidos receita_total"),
 }
 
 
+def _report_status(name: str, columns: str, sql: str) -> str:
+    """SQL of the row of the status that one report gets."""
+    values = ", ".join(
+        f"coalesce({c[:-1]}, '\\N')" if c.endswith(":") else f"coalesce(CAST(CAST({c} AS DECIMAL(38,4)) AS VARCHAR), '\\N')"
+        for c in columns.split())
+    return f"""SELECT '{name}' AS relatorio, true AS ok, count(*) AS linhas,
+  CAST(coalesce(sum(CAST('0x' || substr(md5(concat_ws(chr(31), {values})), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS impressao
+FROM ({sql})"""
+
+
 def oracle_sql() -> dict[str, str]:
     scanned = ", ".join(f'{column} AS "{header}"' for header, column in HEADERS.items())
     names = ", ".join(f"CASE WHEN {flag} THEN '{rule}' END" for rule, flag in sorted(
@@ -576,13 +587,10 @@ def oracle_sql() -> dict[str, str]:
     revenue_f = "CAST(sum(sales) AS DOUBLE) AS receita, CAST(sum(profit) AS DOUBLE) AS lucro"
     total = "sum(sum(sales)) OVER ()"
     customers = "count(DISTINCT customer_id)"
-    return (training.ORACLE_SQL if training else {}) | {
+    sql = (training.ORACLE_SQL if training else {}) | {
         "csv_scan": f"WITH bruto AS (SELECT {_SCANNED} {_JOINED}) SELECT {scanned} FROM bruto",
         "clean_roundtrip": _UNSCANNED_CTE + _clean_select("nullif(industry, 'None')", "DECIMAL(18,4)"),
         "warehouse_load": _UNSCANNED_CTE + _clean_select("industry", "DECIMAL(12,2)"),
-        "report_batch": _N + " UNION ALL ".join(
-            f"SELECT '{name}' AS relatorio, true AS ok, CAST({rows} AS BIGINT) AS linhas FROM vendas"
-            for name, rows in _REPORT_ROWS.items()),
         "clean_sales": _UNSCANNED_CTE + _clean_select("industry", "DECIMAL(18,4)"),
         "clean_counts": f"""{_UNSCANNED_CTE}
 SELECT CAST((SELECT count(*) FROM convertido) AS BIGINT) AS linhas_originais,
@@ -691,3 +699,6 @@ SELECT CAST(printf('%.2f', arpu) AS DOUBLE) AS arpu_medio,
   CAST(printf('%.1f', 1 / taxa) AS DOUBLE) AS meses_vida,
   CAST(printf('%.2f', arpu * (1 / taxa)) AS DOUBLE) AS ltv FROM medias""",
     }
+    sql["report_batch"] = " UNION ALL ".join(
+        _report_status(name, columns, sql[query]) for name, (query, columns) in _REPORT_COLUMNS.items())
+    return sql

@@ -3,11 +3,12 @@
 from collections.abc import Callable, Collection, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from saldo.functions.fingerprint import fingerprint
 from saldo.operators import revenue
-from saldo.sources.csv import write_csv
+from saldo.sources.csv import read_report, write_csv
 
 Report = Callable[[DataFrame], DataFrame]
 
@@ -24,7 +25,11 @@ SQL_REPORTS: dict[str, Report] = {
 # Bounded by months, quarters, segments, bands or the ten rows of a top list; products are not.
 SMALL_REPORTS = frozenset(SQL_REPORTS) | {"mrr_mensal", "churn_mensal", "por_segmento"}
 
-_STATUS = "relatorio string, ok boolean, linhas bigint, erro string"
+_STATUS = "relatorio string, ok boolean, linhas bigint, impressao string, erro string"
+
+
+class ReportError(ValueError):
+    """The files of a report do not hold the rows that were written."""
 
 
 def run_sql(spark: SparkSession, text: str) -> DataFrame:
@@ -37,15 +42,24 @@ def plain_numbers(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in decimals}) if decimals else df
 
 
+def _content(df: DataFrame) -> tuple[Column, Column]:
+    return F.count(F.lit(1)).alias("rows"), fingerprint(df).alias("print")
+
+
 def _run(report: Report, sales: DataFrame, path: str, one_file: bool) -> tuple:
-    """Writes one report; gives (ok, row count as observed on the way, error)."""
+    """Writes one report and reads its files back; gives (ok, row count, fingerprint, error)."""
     seen = Observation()
     try:
-        result = plain_numbers(report(sales)).observe(seen, F.count(F.lit(1)).alias("rows"))
-        write_csv(result, path, one_file=one_file)
-        return True, seen.get.get("rows", 0), None
+        result = plain_numbers(report(sales))
+        write_csv(result.observe(seen, *_content(result)), path, one_file=one_file)
+        written = seen.get
+        stored = read_report(sales.sparkSession, path, result.schema)
+        found = stored.agg(*_content(stored)).first()
+        if written and (written["rows"], written["print"]) != tuple(found):
+            raise ReportError(f"{written['rows']} rows were written, {found['rows']} are read, or other values")
+        return True, found["rows"], found["print"], None
     except Exception as error:  # noqa: BLE001 - noted in the status, and the batch goes on
-        return False, None, ": ".join([type(error).__name__, *str(error).splitlines()[:1]])
+        return False, None, None, ": ".join([type(error).__name__, *str(error).splitlines()[:1]])
 
 
 def run_reports(sales: DataFrame, folder: str, reports: Mapping[str, Report] = SQL_REPORTS,
@@ -55,7 +69,9 @@ def run_reports(sales: DataFrame, folder: str, reports: Mapping[str, Report] = S
     Reports named in `small` have few rows and become one file, others as many as tasks.
 
     The reports are submitted together, so that the cluster has work while one of them waits
-    for its last tasks. Returns (relatorio, ok, linhas, erro), one row per report.
+    for its last tasks. Each is read back: `linhas` and `impressao`, the fingerprint of its rows,
+    are those of the files, and a report whose files hold other rows than were written is not ok.
+    Returns (relatorio, ok, linhas, impressao, erro), one row per report.
     """
     with ThreadPoolExecutor(max_workers=max(len(reports), 1)) as pool:
         runs = [pool.submit(_run, report, sales, f"{folder}/{name}", name in small) for name, report in reports.items()]

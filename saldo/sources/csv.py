@@ -158,6 +158,17 @@ def write_csv(df: DataFrame, path: str, *, one_file: bool = False) -> None:
     )
 
 
+def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A report as written by `write_csv`; another header or a value of another type is an error.
+
+    A file was written by one task and is read by one, so values may span lines. An empty text
+    is told from NULL: it has quotes.
+    """
+    return spark.read.schema(schema).options(
+        **_QUOTING, mode="FAILFAST", enforceSchema=False, multiLine=True, nullValue="\0",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
 def with_texts(clean: DataFrame) -> DataFrame:
     """Clean rows as they are to be written: numbers beyond their columns as the texts they had."""
     if OVERFLOW not in clean.columns:

@@ -5,9 +5,10 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from saldo.functions.fingerprint import fingerprint
 from saldo.operators import quality, revenue
 from saldo.plans import pipeline, reports
-from saldo.sources import scratch, warehouse
+from saldo.sources import csv, scratch, warehouse
 from saldo.sources.scratch import new_folder, settle, shared_folder
 from tests.frames import frame, in_cents
 from tests.test_csv import write
@@ -86,6 +87,39 @@ def test_reports_go_on_after_a_failure(spark, tmp_path):
     assert read(tmp_path / "depois") == read(tmp_path / "antes")
 
 
+def test_a_report_is_read_back(spark, tmp_path):
+    odd = spark.createDataFrame(
+        [("a,\"b\"", 1.5), ("two\nlines", None), ("ends\r\n", 0.1), ("", 2.0), (None, 2.0), (" c ", 1e20), ("c", -0.0)],
+        "nome string, valor double")
+    for name, files in (("one", {"r"}), ("many", ())):
+        status = reports.run_reports(odd, str(tmp_path / name), {"r": lambda s: s}, small=files).first()
+        assert (status.ok, status.linhas, status.erro) == (True, 7, None)
+        assert status.impressao == odd.agg(fingerprint(odd)).first()[0]
+
+
+def test_a_report_whose_files_are_changed_is_not_ok(spark, tmp_path, monkeypatch):
+    def lossy(df, path, **how):
+        csv.write_csv(df.withColumn("valor", F.lit(3.0)), path, **how)
+
+    monkeypatch.setattr(reports, "write_csv", lossy)
+    sales = spark.createDataFrame([("a", 1.5), ("b", 3.0)], "nome string, valor double")
+    status = reports.run_reports(sales, str(tmp_path), {"r": lambda s: s}).first()
+    assert (status.ok, status.linhas, status.impressao) == (False, None, None)
+    assert status.erro.startswith("ReportError: 2 rows were written, 2 are read, or other values")
+
+
+def test_fingerprints_tell_rows_but_not_their_order(spark):
+    def of(rows, schema="a string, b int"):
+        df = spark.createDataFrame(rows, schema)
+        return df.agg(fingerprint(df)).first()[0]
+
+    rows = [("x", 1), ("y", 2), ("y", 2)]
+    assert of(rows) == of(rows[::-1]) == of([(float(b), a) for a, b in rows], "b double, a string")
+    assert len({of(rows), of(rows[:2]), of([("x", 2), ("y", 1), ("y", 2)]), of([("x", None)]), of([(None, 1)]),
+                of([("", 1)]), of([])}) == 7
+    assert of([]) == "0"
+
+
 def test_reports_over_no_sales(spark, tmp_path):
     empty = in_cents(frame(spark, []))
     settled = settle(empty, "empty")
