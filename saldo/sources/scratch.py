@@ -46,20 +46,31 @@ def discard(spark: SparkSession) -> None:
         remove(spark, _passing.pop())
 
 
-def _store(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
+    """(Hadoop path, its file system) of a path."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    at, store = _store(spark, path)
+    at, store = located(spark, path)
     store.delete(at, True)
 
 
-def folders_in(spark: SparkSession, path: str) -> list[str]:
-    """Folders in a folder, the last written first."""
-    at, store = _store(spark, path)
+def _entries(spark: SparkSession, path: str, folders: bool) -> list[tuple[int, str]]:
+    """(time in ms, path) of what lies in a folder, the last written first."""
+    at, store = located(spark, path)
     if not store.exists(at):
         return []
-    found = [(s.getModificationTime(), s.getPath().toString()) for s in store.listStatus(at) if s.isDirectory()]
-    return [p for _, p in sorted(found, reverse=True)]
+    found = [(s.getModificationTime(), s.getPath().toString())
+             for s in store.listStatus(at) if s.isDirectory() == folders]
+    return sorted(found, reverse=True)
+
+
+def folders_in(spark: SparkSession, path: str, *, times: bool = False) -> list:
+    """Folders in a folder, the last written first; with `times`, as (time in ms, path)."""
+    return [(t, p) if times else p for t, p in _entries(spark, path, True)]
+
+
+def files_in(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    return _entries(spark, path, False)

@@ -1,0 +1,92 @@
+"""Loads side by side, readers of former versions, what ended processes leave."""
+
+from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
+
+import pytest
+
+from saldo.operators import clean as cleaning
+from saldo.operators import quality
+from saldo.sources import versions, warehouse
+from saldo.sources.scratch import files_in, folders_in
+from tests.test_clean import raw
+
+
+def loaded(spark, root, *ids, name="side_by_side", **options):
+    rows = raw(spark, *[{"Row ID": str(i)} for i in ids])
+    return warehouse.load_table(cleaning.clean(rows), name, root, **options)
+
+
+def ids(df):
+    return sorted(r.row_id for r in df.select("row_id").collect())
+
+
+def test_of_two_loads_at_once_one_wins_and_the_other_leaves_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    loaded(spark, root, 1)
+    both = Barrier(2, timeout=100)
+    check = quality.require_valid
+
+    def meet(df, segments):
+        check(df, segments)
+        both.wait()
+
+    monkeypatch.setattr(quality, "require_valid", meet)
+    with ThreadPoolExecutor(2) as pool:
+        runs = {i: pool.submit(loaded, spark, root, i) for i in (2, 3)}
+    (winner,) = [i for i, run in runs.items() if run.exception() is None]
+    (error,) = [run.exception() for i, run in runs.items() if i != winner]
+    assert isinstance(error, versions.ConflictError)
+    assert ids(spark.table("side_by_side")) == [winner]
+    assert [n for n, _ in versions.commits(spark, root)] == [2, 1]
+    assert len(folders_in(spark, root)) == 2
+    assert not [p for _, p in files_in(spark, root) if "/draft-" in p]
+
+
+def test_a_reader_keeps_its_version_until_it_ends(spark, tmp_path):
+    root = str(tmp_path)
+    loaded(spark, root, 1, name="held")
+    with warehouse.reading(spark, "held", root) as before:
+        for i in (2, 3, 4):
+            loaded(spark, root, i, name="held", former=0)
+        assert ids(before) == [1]
+        with warehouse.reading(spark, "held", root) as now:
+            assert ids(now) == [4]
+        assert len(folders_in(spark, root)) == 2
+    loaded(spark, root, 5, name="held", former=0)
+    assert len(folders_in(spark, root)) == 1
+    assert not [p for _, p in files_in(spark, root) if "/reader-" in p]
+    assert ids(spark.table("held")) == [5]
+
+
+def test_what_ended_processes_left_goes_after_a_time(spark, tmp_path):
+    root = str(tmp_path)
+    loaded(spark, root, 1, name="left")
+    (tmp_path / "version-lost").mkdir()
+    (tmp_path / f"reader-0-{versions.latest(spark, root)[1]}").touch()
+    loaded(spark, root, 2, name="left", former=0)
+    assert len(folders_in(spark, root)) == 3
+    loaded(spark, root, 3, name="left", former=0, hours=-1)
+    assert len(folders_in(spark, root)) == 1
+
+
+def test_numbers_of_retired_commits_are_not_given_again(spark, tmp_path):
+    root = str(tmp_path)
+    for number in (1, 2, 3):
+        versions.commit(spark, root, number, f"version-{number}")
+    versions.retire(spark, root, 0, 1)
+    assert versions.latest(spark, root) == (3, "version-3")
+    for taken in (1, 2, 3):
+        with pytest.raises(versions.ConflictError):
+            versions.commit(spark, root, taken, "version-x")
+    with pytest.raises(FileNotFoundError):
+        with warehouse.reading(spark, "none", str(tmp_path / "none")):
+            pass
+
+
+def test_a_rename_never_replaces(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).write_text(name)
+    assert versions._rename_new(spark, str(tmp_path / "a"), str(tmp_path / "c"))
+    assert not versions._rename_new(spark, str(tmp_path / "b"), str(tmp_path / "c"))
+    assert (tmp_path / "c").read_text() == "a"
