@@ -2,14 +2,15 @@
 
 Paths of a host form a tree of templates. Segments that vary (numbers, hashes, and any
 rare values of a position with many) become wildcards. What rules or labels say of some pages
-is counted for their template; sibling branches that do not differ significantly are pooled,
-and a template is rejected if its smoothed share of allowed pages is below one half.
+is counted for their template and all nodes above it; branches of a node that do not differ
+significantly are merged with all that lies below them, and a template is rejected if its
+smoothed share of allowed pages is below one half.
 """
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldo.llm.common import ascii_lower, bounded
@@ -135,39 +136,87 @@ def generalised(paths: DataFrame) -> DataFrame:
     return every
 
 
+def _chain(host: Column, template: Column) -> Column:
+    """Nodes of the tree from the host down to the end of the template: (depth, node, parent).
+
+    A node is named by a digest of its host and segments. Templates that end at a node have
+    a node below it, beside its branches.
+    """
+    size = F.size(template)
+
+    def name(depth: Column) -> Column:
+        inner = F.concat_ws("/", F.array(host), F.slice(template, 1, F.least(depth, size)))
+        return F.md5(F.when(depth > size, F.concat(inner, F.lit("//"))).otherwise(inner))
+
+    names = F.transform(F.sequence(F.lit(0), size + 1), name)
+    return F.transform(names, lambda node, depth: F.struct(
+        depth.alias("depth"), node.alias("node"), F.get(names, depth - 1).alias("parent")))
+
+
+_GROUPS = "array<struct<n:double,k:double,nodes:array<string>>>"
+
+
+def _merged(branches: Column) -> Column:
+    """Groups of alike branches, from (share, node, n, k) in ascending order of share.
+
+    A branch joins the group before it unless their shares differ significantly.
+    """
+
+    def step(groups: Column, one: Column) -> Column:
+        last = F.get(groups, F.size(groups) - 1)
+        n, k = last["n"] + one["n"], last["k"] + one["k"]
+        error = F.sqrt(k / n * (1 - k / n) * (1 / last["n"] + 1 / one["n"]))
+        alike = F.coalesce(F.abs(last["k"] / last["n"] - one["share"]) <= ALIKE * error, F.lit(False))
+        group = lambda n, k, nodes: F.array(F.struct(n.alias("n"), k.alias("k"), nodes.alias("nodes")))
+        own = F.array(one["node"])
+        before = F.slice(groups, 1, F.greatest(F.size(groups) - 1, F.lit(0)))
+        return F.when(alike, F.concat(before, group(n, k, F.concat(last["nodes"], own)))).otherwise(
+            F.concat(groups, group(one["n"], one["k"], own)))
+
+    return F.aggregate(branches, F.array().cast(_GROUPS), step)
+
+
+def merged_branches(known: DataFrame) -> DataFrame:
+    """(node, use_n, use_k): labelled and allowed pages below each node and the siblings it merges with.
+
+    `known` has host, template, labelled, allowed, with labelled above 0. A position keeps fewer than
+    2 * MANY_VALUES values (`generalised`), so a node has few branches, each counted with all
+    that lies below it.
+    """
+    nodes = known.select(F.explode(_chain(F.col("host"), F.col("template"))).alias("at"), "labelled", "allowed").groupBy(
+        "at.node", "at.parent").agg(F.sum("labelled").cast("double").alias("n"), F.sum("allowed").cast("double").alias("k"))
+    # A host has no siblings; its node alone stands for its parent.
+    branches = nodes.groupBy(F.coalesce("parent", "node").alias("parent"), F.isnull("parent").alias("top")).agg(
+        F.array_sort(F.collect_list(F.struct((F.col("k") / F.col("n")).alias("share"), "node", "n", "k"))).alias("branches"))
+    groups = branches.select(F.explode(_merged(F.col("branches"))).alias("g"))
+    return groups.select(F.explode("g.nodes").alias("node"), F.col("g.n").alias("use_n"), F.col("g.k").alias("use_k"))
+
+
 def judged_templates(paths: DataFrame) -> DataFrame:
     """(host, template, purity): smoothed share of allowed pages of each template.
 
-    A template whose share does not differ significantly from that of its siblings (same host
-    and parent) takes the pooled counts of those that do not. The prior is the same template's
-    share over all hosts, itself smoothed by the share over all pages, or 1 without labels.
+    Branches of a node, each with its whole subtree, are merged where their shares do not differ
+    significantly. From the host down, the share of a node's merged group is smoothed by
+    the purity of its parent; a branch without labels has that of its parent. The prior of a host
+    is the same template's share over all hosts, itself smoothed by the share over all pages, or
+    1 without labels.
     """
-    grouped = paths.groupBy("host", "template").agg(
-        F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("allowed").alias("allowed"))
+    grouped = settle(paths.groupBy("host", "template").agg(
+        F.sum("labelled").alias("labelled"), F.sum("allowed").alias("allowed")), "templates-of-hosts")
     # One row for each template of a host: far fewer than pages.
     known = grouped.filter("labelled > 0")
     overall = known.agg(((F.sum("allowed") + 1) / (F.sum("labelled") + 1)).alias("share")).first().share
     everywhere = known.groupBy("template").agg(F.sum("labelled").alias("all_n"), F.sum("allowed").alias("all_k"))
-    siblings = Window.partitionBy("host", "parent")
-    n, k = F.col("labelled").cast("double"), F.col("allowed").cast("double")
-    nodes = grouped.withColumn("parent", F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0))))
-    nodes = nodes.withColumns({"sib_n": F.sum(n).over(siblings), "sib_k": F.sum(k).over(siblings)})
-    rest_n, rest_k = F.col("sib_n") - n, F.col("sib_k") - k
-    pooled = F.try_divide(F.col("sib_k"), F.col("sib_n"))
-    error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / rest_n))
-    gap = F.abs(k / n - rest_k / rest_n)
-    # Without labels on one side nothing tells the branches apart.
-    alike = (n == 0) | (rest_n == 0) | (gap <= ALIKE * error)
-    nodes = nodes.withColumn("alike", alike)
-    merged = Window.partitionBy("host", "parent", "alike")
-    nodes = nodes.withColumns({
-        "use_n": F.when(F.col("alike"), F.sum(n).over(merged)).otherwise(n),
-        "use_k": F.when(F.col("alike"), F.sum(k).over(merged)).otherwise(k)})
-    nodes = nodes.join(everywhere, "template", "left")
     root = F.lit(1.0 if overall is None else overall)
     prior = (F.coalesce("all_k", F.lit(0)) + PRIOR * root) / (F.coalesce("all_n", F.lit(0)) + PRIOR)
-    purity = (F.col("use_k") + PRIOR * prior) / (F.col("use_n") + PRIOR)
-    return nodes.select("host", "template", purity.alias("purity"))
+    nodes = grouped.select("host", "template", F.explode(_chain(F.col("host"), F.col("template"))).alias("at"))
+    steps = nodes.select("host", "template", "at.depth", "at.node").join(merged_branches(known), "node").groupBy(
+        "host", "template").agg(F.array_sort(F.collect_list(F.struct("depth", "use_n", "use_k"))).alias("steps"))
+    every = grouped.join(steps, ["host", "template"], "left").join(everywhere, "template", "left")
+    none = F.array().cast("array<struct<depth:int,use_n:double,use_k:double>>")
+    purity = F.aggregate(F.coalesce("steps", none), prior.cast("double"), lambda above, at: (
+        (at["use_k"] + PRIOR * above) / (at["use_n"] + PRIOR)))
+    return every.select("host", "template", purity.alias("purity"))
 
 
 def judge(pages: DataFrame, rules: Sequence[UrlRule] = RULES, id_col: str = "page_id",

@@ -1,0 +1,90 @@
+"""Purity of URL templates against a walk over the tree in plain Python."""
+
+import math
+import random
+from collections import defaultdict
+
+import pytest
+
+from saldo.llm import urls
+
+_SCHEMA = "host string, template array<string>, n bigint, labelled bigint, allowed bigint"
+
+
+def purities(rows):
+    """{(host, template): purity}, node by node."""
+    nodes, children = defaultdict(lambda: [0, 0]), defaultdict(set)
+    chains, everywhere, total = {}, defaultdict(lambda: [0, 0]), [0, 0]
+    for host, template, _, n, k in rows:
+        way = [(host, *template[:i]) for i in range(len(template) + 1)] + [(host, *template, None)]
+        chains[host, tuple(template)] = way
+        for counts in (everywhere[tuple(template)], total):
+            counts[0] += n
+            counts[1] += k
+        if n:
+            for parent, node in zip([None, *way], way):
+                nodes[node][0] += n
+                nodes[node][1] += k
+                if parent:
+                    children[parent].add(node)
+    used = {way[0]: nodes[way[0]] for way in chains.values()}
+    for branches in children.values():
+        groups = []
+        for node in sorted(branches, key=lambda b: nodes[b][1] / nodes[b][0]):
+            n, k = nodes[node]
+            if groups:
+                m, j, members = groups[-1]
+                p = (j + k) / (m + n)
+                if abs(j / m - k / n) <= urls.ALIKE * math.sqrt(p * (1 - p) * (1 / m + 1 / n)):
+                    groups[-1] = (m + n, j + k, [*members, node])
+                    continue
+            groups.append((n, k, [node]))
+        for n, k, members in groups:
+            used |= {node: (n, k) for node in members}
+    overall = (total[1] + 1) / (total[0] + 1)
+    found = {}
+    for (host, template), way in chains.items():
+        n, k = everywhere[template]
+        value = (k + urls.PRIOR * overall) / (n + urls.PRIOR)
+        for node in way:
+            n, k = used.get(node, (0, 0))
+            value = (k + urls.PRIOR * value) / (n + urls.PRIOR)
+        found[host, template] = value
+    return found
+
+
+def judged(spark, rows):
+    return {(r.host, tuple(r.template)): r.purity
+            for r in urls.judged_templates(spark.createDataFrame(rows, _SCHEMA)).collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_purities_equal_a_walk_over_the_tree(spark, seed):
+    r = random.Random(seed)
+    rows = {}
+    for _ in range(400):
+        host = r.choice(["a.com", "b.net", "", "c.org"])
+        template = tuple(r.choice(["x", "y", "*", "{n}"]) for _ in range(r.randint(0, 4)))
+        # Shares of their own, so that equal ones are exactly equal or well apart.
+        n = 0 if host == "c.org" else r.choice([0, 7, 30, 101])
+        rows[host, template] = (host, list(template), n + 5, n, r.randint(0, n))
+    rows = list(rows.values())
+    theirs, ours = purities(rows), judged(spark, rows)
+    assert ours.keys() == theirs.keys()
+    assert all(abs(ours[key] - value) < 1e-9 for key, value in theirs.items())
+
+
+def test_branches_with_subtrees_merge_and_unlabelled_ones_follow(spark):
+    alike = [("h", [top, leaf], 9, 9, k) for top, k in (("a", 1), ("b", 1), ("c", 2)) for leaf in ("u", "v", "w")]
+    rows = [*alike, ("h", ["good", "u"], 90, 90, 90), ("h", ["a", "new", "z"], 9, 0, 0), ("h", ["good", "new"], 9, 0, 0)]
+    found = judged(spark, rows)
+    assert all(found["h", tuple(t)] < 0.5 for _, t, *_ in alike)
+    assert found["h", ("a", "new", "z")] < 0.5 < found["h", ("good", "new")]
+    nodes = urls.merged_branches(spark.createDataFrame([r for r in rows if r[3]], _SCHEMA)).collect()
+    # a, b and c hold 27 pages each: one group of 81 with 12 allowed, as 3, 3 and 6 of 27 do not differ significantly.
+    assert [(n.use_n, n.use_k) for n in nodes].count((81.0, 12.0)) == 3
+
+
+def test_no_labels_allow_everything(spark):
+    assert set(judged(spark, [("h", ["a"], 3, 0, 0), ("", [], 3, 0, 0)]).values()) == {1.0}
+    assert judged(spark, []) == {}
