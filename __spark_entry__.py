@@ -194,6 +194,13 @@ def _churn_averages(spark: SparkSession, folder: str) -> DataFrame:
     return means.select(*[F.round(c, 6).alias(c) for c in means.columns])
 
 
+def _activity_sparse(spark: SparkSession, folder: str) -> DataFrame:
+    sparse = retention.activity_sparse(star.sales_from_star(spark, folder, _ACTIVITY))
+    entry = lambda m: F.concat_ws(":", m["year_month"], m["pedidos"].cast("string"))
+    return sparse.select("customer_id", F.size("meses").cast("bigint").alias("n_meses"),
+                         F.array_join(F.transform("meses", entry), ",").alias("meses"))
+
+
 _ACTIVITY = ("year_month", "customer_id")
 _MONTH = ("year_month", "customer_id", "order_id", "sales", "profit")
 
@@ -239,6 +246,7 @@ _QUERIES: dict[str, Query] = {
         revenue.product_kpis, "product", "customer_id", "sales", "profit"),
     "customer_activity": _table_report(retention.customer_activity, *_ACTIVITY),
     "activity_matrix": _table_report(retention.activity_matrix, *_ACTIVITY),
+    "activity_sparse": _activity_sparse,
     "churned_customers": _table_report(retention.churned_customers, *_ACTIVITY),
     "new_customers": _table_report(retention.new_customers, *_ACTIVITY),
     "churn_monthly": _table_report(retention.churn_monthly, *_ACTIVITY),
@@ -684,6 +692,10 @@ FROM vendas GROUP BY product ORDER BY receita DESC""",
         "customer_activity": f"""{_N}
 SELECT year_month, customer_id, count(*) AS pedidos FROM vendas GROUP BY year_month, customer_id""",
         "activity_matrix": f"{_N} {_MATRIX}",
+        "activity_sparse": f"""{_N}
+SELECT customer_id, count(*) AS n_meses, string_agg(year_month || ':' || linhas, ',' ORDER BY year_month) AS meses
+FROM (SELECT customer_id, year_month, count(*) AS linhas FROM vendas GROUP BY customer_id, year_month)
+GROUP BY customer_id""",
         "churned_customers": f"""{_N}{_PAIRS}
 SELECT year_month AS periodo, customer_id FROM sairam JOIN calendario USING (i)""",
         "new_customers": f"""{_N}{_PAIRS}

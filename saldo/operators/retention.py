@@ -50,6 +50,33 @@ def activity_matrix(sales: DataFrame, months: list[str] | None = None) -> DataFr
     return pivot.agg(F.avg("pedidos")).na.fill(0.0)
 
 
+def activity_sparse(sales: DataFrame) -> DataFrame:
+    """One row per customer: `meses`, the months with sales in ascending order, each with its rows.
+
+    Nothing is stored for months without sales and nothing is looked up first, so the schema
+    does not depend on the data. A customer holds at most twelve entries a year, and its rows
+    are folded by month before they meet.
+    """
+    month = F.struct("year_month", "pedidos")
+    return customer_activity(sales).groupBy("customer_id").agg(F.array_sort(F.collect_list(month)).alias("meses"))
+
+
+def months_between(first: str, last: str) -> list[str]:
+    """Months from `first` to `last`, both included, as `2020-01`."""
+    number = lambda month: int(month[:4]) * 12 + int(month[5:]) - 1
+    return [f"{i // 12:04d}-{i % 12 + 1:02d}" for i in range(number(first), number(last) + 1)]
+
+
+def widened(sparse: DataFrame, months: list[str]) -> DataFrame:
+    """The sparse activity with one column for each of `months`, 0 where inactive, for an export.
+
+    Months that nobody was active in have columns too; those not asked for are left out.
+    """
+    rows = F.map_from_entries("meses")
+    return sparse.select("customer_id", *[
+        F.coalesce(rows[month].cast("double"), F.lit(0.0)).alias(month) for month in months])
+
+
 def _month_states(pairs: DataFrame) -> DataFrame:
     """Per month: active customers, and how many of them return in the next observed month.
 

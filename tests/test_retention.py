@@ -130,6 +130,13 @@ def test_activity_and_matrix(spark):
     assert sorted(rows(matrix)) == [("a", 2.0, 0.0), ("b", 1.0, 1.0)]
     asked = retention.activity_matrix(sales, ["2020-01", "2020-05"])
     assert sorted(rows(asked)) == [("a", 2.0, 0.0), ("b", 1.0, 0.0)]
+    sparse = retention.activity_sparse(sales)
+    assert sorted((r.customer_id, [tuple(m) for m in r.meses]) for r in sparse.collect()) == [
+        ("a", [("2020-01", 2)]), ("b", [("2020-01", 1), ("2020-02", 1)])]
+    wide = retention.widened(sparse, retention.months_between("2020-01", "2020-02"))
+    assert wide.columns == matrix.columns and sorted(rows(wide)) == sorted(rows(matrix))
+    assert retention.activity_sparse(sales.limit(0)).collect() == []
+    assert retention.months_between("2019-11", "2020-02") == ["2019-11", "2019-12", "2020-01", "2020-02"]
 
 
 def monthly(spark, arpu):
