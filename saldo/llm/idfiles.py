@@ -6,7 +6,8 @@ of their ascending ids. A block's boundaries take about 2 + log2(tokens / docume
 document; `EliasFano.select` finds one without decoding the others.
 """
 
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,6 +149,13 @@ def documents_of(block: dict) -> Iterator[tuple]:
         start = end
 
 
+def _bases(stored: DataFrame) -> DataFrame:
+    """(part, base): tokens before each part."""
+    parts = stored.groupBy("part").agg(F.sum("tokens").alias("own"))
+    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.select("part", F.coalesce(F.sum("own").over(order), F.lit(0)).alias("base"))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of every document of the files; `ids` as 32-bit.
 
@@ -167,16 +175,60 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    parts = stored.groupBy("part").agg(F.sum("tokens").alias("own"))
-    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = parts.select("part", F.coalesce(F.sum("own").over(order), F.lit(0)).alias("base"))
     return (
         stored.mapInArrow(unpack, _ROWS)
-        .join(F.broadcast(bases), "part")
+        .join(F.broadcast(_bases(stored)), "part")
         .select("doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens", "ids")
     )
 
 
+def places_of(block: dict, wanted: np.ndarray) -> Iterator[tuple]:
+    """(doc_id, start within the part, tokens) of the documents of a block with the ids `wanted`.
+
+    Ids are found by halving and boundaries taken by select, so that nothing is decoded but what
+    lies between two samples. `wanted` is ascending, without repeats.
+    """
+    known = block["documents"] - block["no_id"]
+    if not known:
+        return
+    keys = EliasFano(known, block["keys_low"], block["keys_high"], block["keys_bits"])
+    ends = EliasFano(block["documents"], block["ends_low"], block["ends_high"], block["ends_bits"])
+    of_keys, of_ends, base = keys.samples(), ends.samples(), block["base"]
+    last = base + keys.select(known - 1, of_keys)
+    for name in wanted[np.searchsorted(wanted, base): np.searchsorted(wanted, last, side="right")].tolist():
+        i = bisect_left(range(known), name - base, key=lambda j: keys.select(j, of_keys))
+        while i < known and keys.select(i, of_keys) == name - base:
+            place = block["no_id"] + i
+            start = ends.select(place - 1, of_ends) if place else 0
+            yield name, block["first"] + start, ends.select(place, of_ends) - start
+            i += 1
+
+
+def offsets(spark: SparkSession, path: str, asked: Sequence[int]) -> DataFrame:
+    """(doc_id, start, n_tokens) of the documents with the ids `asked`, as `read` gives them.
+
+    Token ids are not read from the files, and boundaries are not decoded: `places_of` selects
+    them. `asked` is a list of the caller, which every task gets. A repeated id gives all its
+    documents, one that is not there none; documents without id cannot be asked for.
+    """
+    wanted = np.unique(np.array(asked, np.int64))
+    columns = [c for c in _NAMES if c not in ("ids", "width", "block")]
+    stored = importable(spark.read.schema(_BLOCK).parquet(path))
+
+    def look(batches):
+        for batch in batches:
+            for block in batch.to_pylist():
+                rows = [(name, block["part"], start, n) for name, start, n in places_of(block, wanted)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64(), pa.int32(), pa.int64(), pa.int64()])],
+                        ["doc_id", "part", "start", "n_tokens"])
+
+    found = stored.select(columns).mapInArrow(look, "doc_id bigint, part int, start bigint, n_tokens bigint")
+    return found.join(F.broadcast(_bases(stored)), "part").select(
+        "doc_id", (F.col("start") + F.col("base")).alias("start"), "n_tokens")
+
+
 def roundtrip(docs: DataFrame, tokenizer: str, **options) -> DataFrame:
     """Writes the files to the shared folder and reads them back."""
     path = new_folder(docs.sparkSession, "token-ids")

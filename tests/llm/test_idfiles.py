@@ -1,0 +1,50 @@
+"""Token files against the tokenizers library, and offsets by select against the whole files."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+from saldo.llm import idfiles, queries
+from tests.llm.test_operators import FOLDER, docs, tokenizer
+
+PATH = "byte_bpe_50k.json"
+
+
+def test_every_document_equals_the_library(spark):
+    """The registered query over its whole table, in ascending order of id."""
+    library = tokenizer(PATH)
+    start, expected = 0, []
+    for r in sorted(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()):
+        ids = library.encode(r.text or "", add_special_tokens=False).ids + [2]
+        expected.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in queries.op7_token_files(spark, FOLDER).collect()) == expected
+
+
+@pytest.mark.parametrize("block_tokens", [1, 50, 1 << 20])
+def test_offsets_by_select_equal_the_whole_files(spark, tmp_path, block_tokens):
+    rows = [(d, "w " * (abs(d) % 7), "en") for d in [-5, -5, *range(0, 400, 3), 10**12, 10**12]]
+    rows += [(None, "no id", "en"), (None, None, "en"), (9, "again, so twice", "en")]
+    path = str(tmp_path / "ids")
+    idfiles.write(docs(spark, rows), path, queries.tokenizer_path(PATH), block_tokens=block_tokens)
+    every = sorted((r.doc_id, r.start, r.n_tokens) for r in idfiles.read(spark, path).collect() if r.doc_id is not None)
+    look = lambda asked: sorted(tuple(r) for r in idfiles.offsets(spark, path, asked).collect())
+    assert look([d for d, *_ in rows if d is not None]) == every
+    some = [-5, 9, 10, 300, 10**12, 10**13, 9]
+    assert look(some) == [r for r in every if r[0] in some]
+    assert look([]) == look([1, 2]) == []
+
+
+def test_offsets_read_no_token_ids(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    idfiles.write(docs(spark), path, queries.tokenizer_path(PATH))
+    plan = idfiles.offsets(spark, path, [1])._jdf.queryExecution().executedPlan().toString()
+    reads = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert reads and not any("ids:binary" in line for line in reads)
+
+
+def test_no_documents_have_no_offsets(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    idfiles.write(docs(spark, []), path, queries.tokenizer_path(PATH))
+    assert idfiles.offsets(spark, path, [1]).collect() == []
