@@ -27,6 +27,8 @@ _C1_UNUSED = "[" + "".join(f"\\x{{{b:X}}}" for b in range(0x80, 0xA0) if b not i
 
 #: Holds the line of a row whose fields are not as many as those of the header.
 _MARKED = "_marked_line"
+#: Of a packed file.
+ROWS_PER_FILE = 1_000_000
 _QUOTING = {"header": True, "quote": '"', "escape": '"'}
 
 
@@ -148,11 +150,16 @@ def read_raw_csv(spark: SparkSession, path: str, form: TextForm | None = None) -
     return every.withColumn(POSITION[2], F.monotonically_increasing_id())
 
 
-def write_csv(df: DataFrame, path: str, *, one_file: bool = False) -> None:
-    """CSV with a header. `one_file` is for reports, whose rows are few."""
+def write_csv(df: DataFrame, path: str, *, one_file: bool = False, packed: bool = False) -> None:
+    """CSV with a header. `one_file` is for reports, whose rows are few.
+
+    `packed` is for files read again by a job: about a fifth of the bytes, in gzip. Those cannot
+    be split, so a file holds ROWS_PER_FILE at most; the readers here take either kind.
+    """
     out = df.coalesce(1) if one_file else df
+    form = {"compression": "gzip", "maxRecordsPerFile": ROWS_PER_FILE} if packed else {}
     (
-        out.write.mode("overwrite")
+        out.write.mode("overwrite").options(**form)
         .options(**_QUOTING, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )

@@ -134,3 +134,16 @@ def test_type_check(spark):
     df = spark.createDataFrame([("x",)], "order_date string")
     with pytest.raises(TypeError, match="order_date should be date, is string"):
         csv.require_type(df, "order_date", T.DateType())
+
+
+def test_packed_files_are_small_and_read_alike(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(csv, "ROWS_PER_FILE", 40)
+    raw = csv.read_raw_csv(spark, write(tmp_path / "a.csv", [{"Row ID": str(i), "City": 'São "x", ' + str(i)} for i in range(100)]))
+    raw = raw.drop(*POSITION).coalesce(1)
+    plain, packed = tmp_path / "plain", tmp_path / "packed"
+    csv.write_csv(raw, str(plain))
+    csv.write_csv(raw, str(packed), packed=True)
+    size = lambda folder: sum(f.stat().st_size for f in folder.glob("part-*"))
+    assert [len(list(packed.glob("*.csv.gz"))), size(packed) < size(plain) / 3] == [3, True]
+    read = [sorted(csv.read_raw_csv(spark, str(p)).drop(*POSITION).collect()) for p in (plain, packed)]
+    assert read[0] == read[1] and len(read[1]) == 100
