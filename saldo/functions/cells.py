@@ -2,9 +2,11 @@
 
 import re
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from saldo.schema import NA_TOKENS
 
@@ -40,6 +42,17 @@ def to_whole(text: Column) -> Column:
     return F.when(number == F.floor(number), number.try_cast("bigint"))
 
 
+def to_int(whole: Column) -> Column:
+    """A whole number as int, NULL beyond it. A failed cast is slow, so only numbers in range are cast."""
+    return F.when(whole.between(-2**31, 2**31 - 1), whole.try_cast("int"))
+
+
+def to_decimal(number: Column, kind: DecimalType) -> Column:
+    """A decimal rounded to `kind`, NULL beyond it. Only numbers in range are cast here too."""
+    most = Decimal(10) ** (kind.precision - kind.scale) - Decimal(5).scaleb(-kind.scale - 1)
+    return F.when(F.abs(number) < F.lit(most), number.try_cast(kind))
+
+
 def _shape(form: str) -> str:
     """Pattern of the texts that a date format can fit."""
     def digits(letters: re.Match) -> str:

@@ -117,8 +117,8 @@ def apply_types(df: DataFrame) -> DataFrame:
     whole = {c: cells.to_whole(F.col(c)) for c in ("row_id", "date_key")}
     types = {f.name: f.dataType for f in CLEAN.fields}
     typed = {c: F.col(c).try_cast(t) for c, t in types.items()} | {
-        c: value.try_cast(types[c]) for c, value in whole.items()} | {
-        "quantity": F.round("quantity", 0).try_cast(types["quantity"])}
+        "row_id": whole["row_id"], "date_key": cells.to_int(whole["date_key"]),
+        "quantity": cells.to_int(F.round("quantity", 0))}
     named = once(df, {f"_typed_{c}": typed[c] for c in (*whole, "quantity")})
     beyond = {c: cells.beyond(F.col(c), F.col(f"_typed_{c}")) for c in whole}
     beyond["quantity"] = F.coalesce(mark_of("quantity"), cells.beyond(F.col("quantity").cast("string"), F.col("_typed_quantity")))

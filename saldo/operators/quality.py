@@ -4,16 +4,23 @@ A rule that evaluates to NULL passes, as a SQL check constraint does.
 """
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
+from saldo.functions import cells
+from saldo.functions.barrier import once
 from saldo.operators.clean import MARKED, OVERFLOW, mark_of, marks
 from saldo.schema import NOT_NULL, SEGMENTS, TABLE, TEXT_LENGTHS
 from saldo.sources.scratch import settle
 
 UNIQUE_RULE = "row_id_unique"
 
+#: Rules in one generated method.
+_TOGETHER = 8
+
 
 class QualityError(ValueError):
     """Rows break the rules of the sales table."""
@@ -24,12 +31,18 @@ def to_table_types(clean: DataFrame) -> DataFrame:
 
     If the clean rows have OVERFLOW, numbers that the table does not hold are added to it.
     """
-    typed = [clean[f.name].try_cast(f.dataType).alias(f.name) for f in TABLE.fields]
+    types = {f.name: f.dataType for f in TABLE.fields}
+    given = {f.name: f.dataType for f in clean.schema.fields}
+
+    def stored(c: str) -> Column:
+        decimals = isinstance(types[c], DecimalType) and isinstance(given.get(c), DecimalType)
+        return cells.to_decimal(F.col(c), types[c]) if decimals and given[c] != types[c] else F.col(c).try_cast(types[c])
+
+    typed = [stored(c).alias(c) for c in types]
     if OVERFLOW not in clean.columns:
         return clean.select(*typed)
-    types = {f.name: f.dataType for f in TABLE.fields}
     too_large = {c: F.coalesce(mark_of(c), F.when(
-        F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull(), F.col(c).cast("string"))) for c in MARKED}
+        F.col(c).isNotNull() & stored(c).isNull(), F.col(c).cast("string"))) for c in MARKED}
     return clean.select(*typed, marks(clean, too_large).alias(OVERFLOW))
 
 
@@ -68,32 +81,45 @@ def _repeated_keys(typed: DataFrame) -> DataFrame:
     )
 
 
-def flag(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
-    """Adds `violations`, the names of the broken rules; every copy of a repeated id is flagged.
+def _checked(typed: DataFrame, segments: Sequence[str], columns: Sequence[str] | None) -> tuple[DataFrame, DataFrame]:
+    """Rows with `violations` of the row rules, of `columns` and row_id if given; and the repeated ids.
 
-    The repeated ids are settled first, in a job of their own over one column. Their size is
-    then known when the join is planned: few of them, as in ordinary data, are broadcast and
-    the rows stay where they are; many are joined by shuffle, with hot ids split. The rows
-    are settled before, so what is behind them is computed once.
+    Both are settled: what is behind the rows is computed once, the rules too, and columns that
+    only the rules read go no further. The repeated ids take a job of their own over one column.
+    Their size is then known when the join is planned: few of them, as in ordinary data, are
+    broadcast and the rows stay where they are; many are joined by shuffle, with hot ids split.
     """
-    typed = settle(typed, "typed-rows")
-    rules = [F.when(_broken(rule), F.lit(name)) for name, rule in row_rules(
+    # Compiled, as array_compact is not, and a few rules at a time, as the methods of many are too long for it.
+    rules = [F.when(_broken(rule), name).otherwise("") for name, rule in row_rules(
         segments, overflow=OVERFLOW in typed.columns).items()]
-    repeated = F.when(F.col("copies").isNotNull(), F.lit(UNIQUE_RULE))
-    return (
-        typed.join(settle(_repeated_keys(typed), "repeated-ids"), "row_id", "left")
-        .withColumn("violations", F.array_compact(F.array(*rules, repeated)))
-        .drop("copies")
-        .select(*typed.columns, "violations")
-    )
+    parts = {f"_broken_{i}": F.array_remove(F.array(*rules[i:i + _TOGETHER]), "") for i in range(0, len(rules), _TOGETHER)}
+    kept = dict.fromkeys([*(columns or typed.columns), "row_id"])
+    checked = reduce(lambda df, part: once(df, {part: parts[part]}), parts, typed)
+    rows = settle(checked.select(*[F.col(f"`{c}`") for c in kept], F.concat(*parts).alias("violations")), "checked-rows")
+    return rows, settle(_repeated_keys(rows), "repeated-ids")
+
+
+def flag(typed: DataFrame, segments: Sequence[str] = SEGMENTS, columns: Sequence[str] | None = None) -> DataFrame:
+    """Adds `violations`, the names of the broken rules, to the rows or to `columns` of them.
+
+    Every copy of a repeated id is flagged.
+    """
+    rows, repeated = _checked(typed, segments, columns)
+    names = F.col("violations")
+    every = F.when(F.col("copies").isNull(), names).otherwise(F.array_append(names, UNIQUE_RULE))
+    return rows.join(repeated, "row_id", "left").select(
+        *[F.col(f"`{c}`") for c in columns or typed.columns], every.alias("violations"))
 
 
-def valid_rows(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
-    return flag(typed, segments).filter(F.size("violations") == 0).drop("violations")
+def valid_rows(typed: DataFrame, segments: Sequence[str] = SEGMENTS, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows, or `columns` of them, that break no rule; only those without broken row rules are joined."""
+    rows, repeated = _checked(typed, segments, columns)
+    fine = rows.filter(F.size("violations") == 0)
+    return fine.join(repeated, "row_id", "left_anti").select(*[F.col(f"`{c}`") for c in columns or typed.columns])
 
 
-def rejected_rows(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> DataFrame:
-    return flag(typed, segments).filter(F.size("violations") > 0)
+def rejected_rows(typed: DataFrame, segments: Sequence[str] = SEGMENTS, columns: Sequence[str] | None = None) -> DataFrame:
+    return flag(typed, segments, columns).filter(F.size("violations") > 0)
 
 
 def split_rows(typed: DataFrame, segments: Sequence[str] = SEGMENTS) -> tuple[DataFrame, DataFrame]:

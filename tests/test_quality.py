@@ -2,9 +2,11 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from saldo.functions import cells
 from saldo.operators import quality
-from saldo.schema import CLEAN
+from saldo.schema import CLEAN, TABLE_MONEY
 
 GOOD = {
     "row_id": 1, "order_id": "o", "order_date": date(2020, 11, 9), "date_key": 20201109,
@@ -77,3 +79,29 @@ def test_segments_are_a_parameter(spark):
     df = typed(spark, {"segment": "MACHINERY"})
     assert quality.valid_rows(df, ["MACHINERY"]).count() == 1
     assert quality.valid_rows(df).count() == 0
+
+
+def test_only_asked_columns_go_through_the_check(spark, monkeypatch):
+    rows = typed(spark, {}, {"quantity": 0}, {"row_id": 1, "segment": "no"}, {"row_id": 9, "product": None}, {"row_id": 7})
+    settled = {}
+    monkeypatch.setattr(quality, "settle", lambda df, name: settled.setdefault(name, df))
+    rejects = quality.rejected_rows(rows, columns=("row_id", "sales"))
+    assert settled["checked-rows"].columns == ["row_id", "sales", "violations"]
+    assert sorted((r.row_id, ",".join(r.violations)) for r in rejects.collect()) == [
+        (1, "row_id_unique"), (1, "segment_known,row_id_unique"), (2, "quantity_positive"), (9, "product_not_null")]
+    settled.clear()
+    assert [tuple(r) for r in quality.valid_rows(rows, columns=("sales", "order_id")).collect()] == [(Decimal("261.97"), "o")]
+    text = settled["checked-rows"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_remove" in text and "filter(" not in text
+
+
+@pytest.mark.parametrize("text", ["9999999999.9949", "9999999999.995", "-9999999999.995", "-9999999999.9949", "0.005", None])
+def test_decimals_in_range_are_cast_and_others_null(spark, text):
+    df = spark.sql(f"SELECT CAST({'NULL' if text is None else text} AS DECIMAL(28,10)) AS x")
+    new, old = df.select(cells.to_decimal(F.col("x"), TABLE_MONEY), F.col("x").try_cast(TABLE_MONEY)).first()
+    assert new == old
+
+
+@pytest.mark.parametrize("n", [2**31 - 1, 2**31, -2**31, -2**31 - 1])
+def test_whole_numbers_in_range_are_cast_and_others_null(spark, n):
+    assert spark.range(1).select(cells.to_int(F.lit(n).cast("bigint"))).first()[0] == (n if -2**31 <= n < 2**31 else None)
