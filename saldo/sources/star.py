@@ -21,6 +21,10 @@ SALES_COLUMNS = (
     "year", "month", "quarter", "year_month",
 )
 
+#: Lines that one task joins to their orders, and the most tasks of that join; beyond, tasks grow and spill.
+LINES_PER_TASK = 500_000
+MOST_TASKS = 20_000
+
 _FROM_ORDERS = {"customer_id", "order_date", "year", "month", "quarter", "year_month"}
 _FROM_CUSTOMER = {"customer_name", "segment"}
 _FROM_PART = {"product"}
@@ -77,23 +81,39 @@ def joined(spark: SparkSession, folder: str, *, orders: bool = False, customer:
     """Line items with the asked tables.
 
     Orders grow with the lines, so that join always shuffles by order, never broadcasts; the
-    lines of an order then share a task, and counting orders folds them there. Spark chooses
-    how to join the others by their size.
+    lines of an order then share a task, and counting orders folds them there. It comes last.
+    Customers join the orders, so that lines travel once for both. Spark chooses how to join the
+    others by their size.
     """
     lines = table(spark, folder, "lineitem")
-    if orders or customer or nation or region:
-        lines = lines.hint("merge").join(
-            table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-        )
-    if customer or nation or region:
-        lines = lines.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    tasks = _tasks(lines) if orders or customer or nation or region else None
     if part:
         lines = lines.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    if nation or region:
-        lines = lines.join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    if region:
-        lines = lines.join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return lines
+    if tasks is None:
+        return lines
+    bought = table(spark, folder, "orders")
+    if customer or nation or region:
+        buyers = table(spark, folder, "customer")
+        if nation or region:
+            buyers = buyers.join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        if region:
+            buyers = buyers.join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        bought = bought.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    if tasks:
+        lines, bought = lines.repartition(tasks, "l_orderkey"), bought.repartition(tasks, "o_orderkey")
+    return lines.hint("merge").join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _tasks(lines: DataFrame) -> int:
+    """Tasks of the join to orders, 0 to leave them to Spark; the count reads footers only.
+
+    Spark merges tasks by what their narrow lines weigh before the join, and the sorts and hash
+    tables of the rows behind it grew by that. Where a task for each core would hold more than
+    LINES_PER_TASK, their number is thus told, or is Spark's own for a shuffle if that is larger.
+    Such tasks are not split: an order is taken to have few lines.
+    """
+    tasks = -(-lines.count() // LINES_PER_TASK)
+    return 0 if tasks <= lines.sparkSession.sparkContext.defaultParallelism else min(tasks, MOST_TASKS)
 
 
 def sales_from_star(spark: SparkSession, folder: str, columns: Sequence[str] = SALES_COLUMNS,

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from saldo.operators import revenue
@@ -70,3 +71,28 @@ def test_distinct_counts_are_folded_before_the_shuffle(spark):
     text = plan(revenue.mrr_monthly(star.clean_sales_from_star(spark, FOLDER)))
     first = text[text.rindex("Exchange hashpartitioning(year_month"):]
     assert first.index("partial_sum") < first.index("Expand")
+
+
+def test_tasks_of_the_order_join_hold_a_bounded_number_of_lines(spark, monkeypatch):
+    """However narrow the lines are before it; with the same rows."""
+    before = star.raw_from_star(spark, FOLDER)
+    monkeypatch.setattr(star, "LINES_PER_TASK", 500)
+    df = star.raw_from_star(spark, FOLDER)
+    assert plan(df).count("REPARTITION_BY_NUM") == 2
+    most = df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < 2 * 500
+    assert df.exceptAll(before).count() == before.exceptAll(df).count() == 0
+
+
+def test_lines_travel_once_for_orders_and_customers(spark, monkeypatch):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(star.sales_from_star(spark, FOLDER, ("row_id", "order_date", "customer_name")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    lines = [s for s in re.findall(r"Exchange hashpartitioning\((\w+)#", text)]
+    assert sorted(lines) == ["c_custkey", "l_orderkey", "o_custkey", "o_orderkey"]
+    assert text.index("l_orderkey") < text.index("o_custkey")
+    smallest = text[text.index("hashpartitioning(o_custkey"):]
+    assert "orders.parquet" in smallest and "lineitem.parquet" not in smallest
