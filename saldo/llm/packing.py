@@ -17,7 +17,7 @@ from saldo.llm.common import importable
 from saldo.llm.tokens import encoder
 
 _PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
-_BYTES = 32 << 20  # of ids in one Arrow batch
+_BYTES = 4 << 20  # of ids in one Arrow batch; Python and the JVM hold each several times at once
 
 
 def binary_lengths(tokens: int, longest: int) -> Iterator[int]:
