@@ -18,6 +18,8 @@ from saldo.llm.tokens import encoder
 
 _PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 _BYTES = 4 << 20  # of ids in one Arrow batch; Python and the JVM hold each several times at once
+#: Words in a cache of the encoder. Packing ends the pipeline: by then the JVM has touched its whole heap.
+_WORDS = 150_000
 
 
 def binary_lengths(tokens: int, longest: int) -> Iterator[int]:
@@ -46,7 +48,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, end_id: int = 1, longest: int = 2
     end = end_id.to_bytes(4, "little")
 
     def cut(batches):
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, _WORDS).encode
         for batch in batches:
             rows: list[tuple] = []
             size = 0

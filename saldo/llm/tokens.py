@@ -42,9 +42,18 @@ class _Spelling(dict):
         return found
 
 
+#: Longer words are not cached: one could weigh as much as thousands of others.
+_LONGEST = 64
+#: Places of the words that were met; one byte each.
+_MET = 1 << 20
+
+
 class Encoder:
     """Ids of whole texts as bytes. Each cache holds two generations of `size` words.
 
+    Runs of letters are cached as they are met. What is quickly put together from them, such as
+    a word and a comma, is cached the second time: two in three words of a corpus come once.
+
     Texts that hold the string of an added token, and words next to other white space, are
     left whole to the library.
     """
@@ -63,9 +72,10 @@ class Encoder:
         self._blank = self._pieces(" a")[0][0].removesuffix("a")
         self._lower = self._pieces("A")[0][0] == "a"
         self._spelling = _Spelling(self._pieces)
-        # Ids of a word after a blank, of a word that begins a text, of a piece for the merges.
+        # Ids of a word after a blank, of a word that begins a text, of another piece for the merges.
         self._young: list[dict] = [{}, {}, {}]
         self._old: list[dict] = [{}, {}, {}]
+        self._met = bytearray(_MET)
 
     @property
     def vocabulary(self) -> int:
@@ -74,23 +84,51 @@ class Encoder:
     def _plain(self, text: str) -> Ids:
         return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _remember(self, kind: int, key: str, value):
+    def _remember(self, kind: int, key: str, value: Ids) -> Ids:
+        if len(key) > _LONGEST:
+            return value
         young = self._young[kind]
         if len(young) >= self._size:
             self._old[kind] = young
             young = self._young[kind] = {}
+            if not kind:
+                self._met = bytearray(_MET)
         young[key] = value
         return value
 
+    def _remember_again(self, kind: int, key: str, value: Ids) -> Ids:
+        """Caches what comes the second time; another word at its place may let it in before."""
+        place = hash(key) & (_MET - 1)
+        if self._met[place]:
+            return self._remember(kind, key, value)
+        self._met[place] = 1
+        return value
+
+    def _merges(self, piece: str) -> Ids:
+        return _packed([t.id for t in self._model.tokenize(piece)])
+
     def _piece(self, piece: str) -> Ids:
         found = self._young[2].get(piece)
         if found is None:
             found = self._old[2].get(piece)
             if found is None:
-                found = _packed([t.id for t in self._model.tokenize(piece)])
+                found = self._merges(piece)
             self._remember(2, piece, found)
         return found
 
+    def _letters(self, letters: str) -> Ids:
+        """Ids of a run of letters after a blank, cached in the case that the vocabulary has."""
+        plain = letters.isascii()
+        if plain and self._lower:
+            letters = letters.lower()
+        found = self._young[0].get(letters)
+        if found is None:
+            found = self._old[0].get(letters)
+            if found is None:
+                found = self._merges(self._blank + (letters if plain else letters.translate(self._spelling)))
+            self._remember(0, letters, found)
+        return found
+
     def _pieces(self, text: str) -> list:
         if self._normalizer is not None:
             text = self._normalizer.normalize_str(text)
@@ -106,6 +144,10 @@ class Encoder:
                 if self._line_end:
                     ids.append(self._piece("Ċ"))
                 continue
+            if before == self._blank and run[0] not in _MARKS:
+                ids.append(self._letters(run))
+                before = ""
+                continue
             if not run.isascii():
                 run = run.translate(self._spelling)
             elif self._lower:
@@ -123,19 +165,16 @@ class Encoder:
             return self._remember(kind, word, ids)
         if not first and (common := _COMMON(word)):
             letters, marks = common.groups()
-            if not letters.isascii():
-                letters = letters.translate(self._spelling)
-            elif self._lower:
-                letters = letters.lower()
-            known, piece = self._young[2], self._blank + letters
-            ids = known.get(piece) or self._piece(piece)
+            ids = self._letters(letters)
             if marks:
-                ids += known.get(marks) or self._piece(marks)
-            return self._remember(0, word, ids) if len(word) <= 64 else ids
+                ids += self._young[2].get(marks) or self._piece(marks)
+            elif not self._lower:
+                return ids
+            return ids if word in self._young[0] else self._remember_again(0, word, ids)
         if not word or word[0].isspace() or word[-1].isspace() or "᠎" in word:
             return None
-        ids = self._unit(word, first)
-        return self._remember(kind, word, ids) if len(word) <= 64 else ids
+        keep = self._remember_again if _SIMPLE.fullmatch(word) else self._remember
+        return keep(kind, word, self._unit(word, first))
 
     def encode(self, text: str) -> Ids:
         for added in self._added:
@@ -180,6 +219,6 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, size: int = 400_000) -> Encoder:
     """One encoder for each Python worker; tasks that reuse the worker find its cache filled."""
-    return Encoder(path)
+    return Encoder(path, size)

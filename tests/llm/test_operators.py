@@ -45,6 +45,21 @@ def test_encoder_equals_the_library(name):
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_caches_words_not_their_single_uses(name):
+    ours, theirs = Encoder(queries.tokenizer_path(name)), tokenizer(name)
+    words = ["".join(w) for w in np.random.default_rng(4).choice(list("abcdeé"), (4000, 9))]
+    words = sorted(set(words))
+    once = " ".join(f"{w}{',.!'[i % 3]}" for i, w in enumerate(words))  # each with a mark, in one place
+    long = f"a {'b' * 5000} c{'d' * 5000}\n{'e' * 5000} f"
+    often = "Then, THEN then. then,\nThen éa, Éa éa\nthen " * 4
+    for text in (once, long, often, often):
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
+    held = [w for kind in ours._young + ours._old for w in kind]
+    assert len(held) <= len(words) * 1.05 + 30 and max(map(len, held)) <= 64
+    assert {"Then,", "then.", "then"} <= ours._young[0].keys()
+
+
 def test_near_duplicates_equal_brute_force(spark, table):
     for words in (2, 5):
         found = neardup.classes(spark.read.parquet(f"{FOLDER}/documents.parquet"), words).collect()
