@@ -31,7 +31,7 @@ MODEL_ROWS = 30_000
 _LEAST_TEXTS = 2
 
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHE = 500_000
+_CACHE = 200_000
 
 
 def _has_letter(word: str) -> bool:
@@ -60,25 +60,24 @@ class Model:
     table: np.ndarray
 
     @cached_property
-    def rows(self) -> dict[str, int]:
-        return {entry: i for i, entry in enumerate(self.entries.to_pylist())}
-
-    @cached_property
-    def _grams(self) -> list[dict[str, int]]:
-        """Rows of the n-grams of each length."""
+    def _rows(self) -> list[dict[str, int]]:
+        """Rows of the words, then of the n-grams of each length; a worker holds each entry once."""
         out: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        for entry, row in self.rows.items():
+        for row, entry in enumerate(self.entries):
+            entry = entry.as_py()
             if entry[1:2] == "|":
                 out[int(entry[0])][entry[2:]] = row
+            else:
+                out[0][entry] = row
         return out
 
     def evidence(self, word: str) -> tuple[np.ndarray | None, float]:
         """Log frequency in each language, and how familiar the word is: 1 if known, else by its longest n-grams."""
-        row = self.rows.get(word)
+        row = self._rows[0].get(word)
         if row is not None:
             return self.table[row], 1.0
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            known = [r for r in map(self._grams[n].get, grams(word, n)) if r is not None]
+            known = [r for r in map(self._rows[n].get, grams(word, n)) if r is not None]
             if known:
                 return np.add.reduce(self.table[known]) / len(known), n / (LONGEST + 1)
         return None, 0.0

@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +61,14 @@ def test_encoder_caches_words_not_their_single_uses(name):
     assert {"Then,", "then.", "then"} <= ours._young[0].keys()
 
 
+def test_a_worker_holds_each_entry_of_the_language_model_once():
+    entries = ["cat", "chat", "1|c", "2|at", "3|cat", "5| cat "]
+    model = language.Model(["en", "fr"], pa.array(entries), np.log(np.arange(1.0, 13).reshape(6, 2)))
+    assert model.evidence("cat")[1] == 1.0 and model.evidence("qat")[1] == 2 / 6 and model.evidence("zz")[0] is None
+    held = [d for v in vars(model).values() for d in (v if isinstance(v, list) else [v]) if isinstance(d, dict)]
+    assert sum(map(len, held)) == len(entries)
+
+
 def test_near_duplicates_equal_brute_force(spark, table):
     for words in (2, 5):
         found = neardup.classes(spark.read.parquet(f"{FOLDER}/documents.parquet"), words).collect()
